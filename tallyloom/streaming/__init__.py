@@ -1,0 +1 @@
+"""Intentionally empty: the engine is batch only, see "Not built" in the README."""
