@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,12 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def as_bytes(setting: str) -> int:
+    """Bytes of a size setting such as ``134217728b`` or ``128m``."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", setting.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
 def scanned_bytes(df: DataFrame) -> int:
     """Bytes of the sources below ``df``, from the optimizer's statistics; runs no job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

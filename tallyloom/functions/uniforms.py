@@ -1,7 +1,8 @@
 """Uniform numbers that are a function of the row id.
 
 A row gets the same numbers whichever task computes it, so a lost executor or another
-partitioning changes nothing.
+partitioning changes nothing. Only 64-bit integer arithmetic is used, no text and no digest:
+it stays in generated code, cannot overflow, and any SQL engine can repeat it.
 """
 
 from __future__ import annotations
@@ -9,32 +10,52 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# 32-bit mask, odd multiplier of the mixing step, step between seeds.
+MASK = 0xFFFFFFFF
+MULTIPLIER = 73_244_475
+SEED_STEP = 0x9E3779B9
+
+
+def seed_words(seed: int) -> tuple[int, int]:
+    return SEED_STEP * (2 * seed + 1) & MASK, SEED_STEP * (2 * seed + 2) & MASK
+
+
+def _fold(x: Column, shift: int) -> Column:
+    return F.shiftright(x, shift).bitwiseXOR(x)
+
+
+def _mix(x: Column, shift: int) -> Column:
+    return (_fold(x, shift) * MULTIPLIER).bitwiseAND(F.lit(MASK))
+
 
 @dataclass(frozen=True)
 class Uniforms:
     """Numbered streams of uniforms in (0, 1) for one id column.
 
-    ``portable`` takes 32 bits from an md5 of the text "seed-block-id", four streams per
-    digest, which any SQL engine can repeat. Otherwise 53 bits come from xxhash64, which is
-    several times cheaper.
+    Two well-mixed 32-bit words a and b are computed once per row; stream k mixes a + (k+1) b.
     """
 
     id_column: str
     seed: int = 0
-    portable: bool = False
+
+    def prepared(self, ids: DataFrame) -> DataFrame:
+        """The ids with the two words that every stream starts from."""
+        first, second = seed_words(self.seed)
+        row = F.col(self.id_column).cast("bigint")
+        low, high = row.bitwiseAND(F.lit(MASK)), F.shiftright(row, 32).bitwiseAND(F.lit(MASK))
+        return (ids.withColumn("_s", _mix(low.bitwiseXOR(F.lit(first)), 16))
+                .withColumn("_a", _mix(F.col("_s"), 15))
+                .withColumn("_t", _fold(F.col("_a"), 16).bitwiseXOR(high)
+                            .bitwiseXOR(F.lit(second)))
+                .withColumn("_b", _mix(F.col("_t"), 16)))
 
     def stream(self, number: int) -> Column:
-        row = F.col(self.id_column)
-        if self.portable:
-            block, lane = divmod(number, 4)
-            digest = F.md5(F.concat(F.lit(f"{self.seed}-{block}-"), row.cast("string")))
-            word = F.conv(F.substring(digest, lane * 8 + 1, 8), 16, 10).cast("double")
-            return (word + 0.5) / float(2 ** 32)
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(self.seed), F.lit(number), row), 11)
-        return (bits.cast("double") + 0.5) / float(2 ** 53)
+        start = (F.col("_a") + F.col("_b") * (number + 1)).bitwiseAND(F.lit(MASK))
+        word = _fold(_mix(_mix(start, 16), 15), 16)
+        return (word.cast("double") + 0.5) / float(2 ** 32)
 
 
 def normal_pair(u: Column, v: Column) -> tuple[Column, Column]:

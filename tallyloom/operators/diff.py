@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,24 +34,31 @@ def _is_float(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DoubleType, T.FloatType))
 
 
-def _equal(x: Column, y: Column, floating: bool, rtol: float, atol: float,
-           null_equal: bool, nan_equal: bool) -> Column:
+def _equal(x: str, y: str, floating: bool, rtol: float, atol: float, null_equal: bool,
+           nan_equal: bool) -> str:
+    """SQL condition that two values count as equal; never null."""
     if floating:
-        nan = F.isnan(x) | F.isnan(y)
-        close = F.abs(x - y) <= F.abs(y) * rtol + atol
-        same = (F.when(nan, F.lit(nan_equal) & F.isnan(x) & F.isnan(y))
-                .otherwise((x == y) | F.coalesce(close & ~F.isnan(x - y), F.lit(False))))
+        nan = "isnan({0}) AND isnan({1})".format(x, y) if nan_equal else "false"
+        same = (f"CASE WHEN isnan({x}) OR isnan({y}) THEN {nan} "
+                f"WHEN {x} = {y} THEN true "
+                f"ELSE NOT isnan({x} - {y}) AND abs({x} - {y}) <= "
+                f"{atol!r}D + {rtol!r}D * abs({y}) AND abs({y}) < double('infinity') END")
     else:
-        same = x == y
-    both_null = F.lit(null_equal) & x.isNull() & y.isNull()
-    return F.when(x.isNull() | y.isNull(), both_null).otherwise(same)
+        same = f"{x} = {y}"
+    null = f"{x} IS NULL AND {y} IS NULL" if null_equal else "false"
+    return f"CASE WHEN {x} IS NULL OR {y} IS NULL THEN {null} ELSE {same} END"
 
 
-def _relative_error(x: Column, y: Column) -> Column:
+def _relative_error(x: str, y: str) -> str:
     """|x - y| over |y|, or over 1 where y is 0; null where either is null or NaN."""
-    scale = F.when(y == 0, F.lit(1.0)).otherwise(F.abs(y))
-    error = F.when(x == y, F.lit(0.0)).otherwise(F.abs(x - y) / scale)
-    return F.when(~F.isnan(x) & ~F.isnan(y), error)
+    return (f"CASE WHEN isnan({x}) OR isnan({y}) THEN NULL WHEN {x} = {y} THEN 0D "
+            f"ELSE abs({x} - {y}) / CASE WHEN {y} = 0 THEN 1D ELSE abs({y}) END END")
+
+
+def _text(value: str) -> str:
+    """A SQL text literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _schema_problem(left: DataFrame, right: DataFrame) -> str | None:
@@ -98,46 +105,41 @@ def _diff(baseline: str, tables: Mapping[str, DataFrame], keys: Sequence[str], r
     tagged = reduce(DataFrame.unionByName, [
         df.withColumn("_table", F.lit(i)) for i, df in enumerate(tables.values())])
 
-    def of(i: int, what: Column | str) -> Column:
-        return F.when(F.col("_table") == i, what if isinstance(what, Column) else F.col(what))
-
     paired = tagged.groupBy(*keys).agg(
-        *[F.count(of(i, F.lit(1))).alias(f"n{i}") for i in range(len(names))],
-        *[F.max(of(i, f.name)).alias(f"v{i}_{j}")
+        *[F.expr(f"count_if(_table = {i}) AS n{i}") for i in range(len(names))],
+        *[F.expr(f"max(CASE WHEN _table = {i} THEN `{f.name}` END) AS v{i}_{j}")
           for i in range(len(names)) for j, f in enumerate(fields)])
 
-    aggregates, structs = [], []
+    # the expressions are SQL text: hundreds of them are built, each in one call to the JVM
+    aggregates, rows = [], []
     for i, name in enumerate(names[1:], start=1):
-        left, right = F.col("n0"), F.col(f"n{i}")
-        both = (left == 1) & (right == 1)
         aggregates += [
-            F.count_if(both).alias(f"compared{i}"),
-            F.count_if((left > 0) & (right == 0)).alias(f"left_only{i}"),
-            F.count_if((left == 0) & (right > 0)).alias(f"right_only{i}"),
-            F.count_if((left > 1) | (right > 1)).alias(f"duplicates{i}"),
+            f"count_if(n0 = 1 AND n{i} = 1) AS compared{i}",
+            f"count_if(n0 > 0 AND n{i} = 0) AS left_only{i}",
+            f"count_if(n0 = 0 AND n{i} > 0) AS right_only{i}",
+            f"count_if(n0 > 1 OR n{i} > 1) AS duplicates{i}",
         ]
+        columns = [] if fields else [("CAST(NULL AS STRING)", "'keys'", "0L")]
         for j, f in enumerate(fields):
-            x, y = F.col(f"v0_{j}"), F.col(f"v{i}_{j}")
-            floating = _is_float(f.dataType)
+            x, y, floating = f"v0_{j}", f"v{i}_{j}", _is_float(f.dataType)
             same = _equal(x, y, floating, rtol, atol, null_equal, nan_equal)
-            aggregates.append(F.count_if(both & ~same).alias(f"bad{i}_{j}"))
-            aggregates.append((F.max(F.when(both, _relative_error(x, y))) if floating
-                               else F.max(F.lit(None).cast("double"))).alias(f"worst{i}_{j}"))
-        columns = [(f.name, "float" if _is_float(f.dataType) else "exact",
-                    F.col(f"bad{i}_{j}"), F.col(f"worst{i}_{j}"))
-                   for j, f in enumerate(fields)]
-        if not fields:
-            columns = [(None, "keys", F.lit(0).cast("bigint"), F.lit(None).cast("double"))]
-        for column, kind, bad, worst in columns:
-            structs.append(F.struct(
-                F.lit(baseline).alias("baseline"), F.lit(name).alias("other"),
-                F.lit(column).cast("string").alias("column"), F.lit(kind).alias("kind"),
-                F.col(f"compared{i}").alias("compared"), bad.alias("mismatches"),
-                worst.alias("worst_rel_error"),
-                F.col(f"left_only{i}").alias("left_only"),
-                F.col(f"right_only{i}").alias("right_only"),
-                F.col(f"duplicates{i}").alias("duplicate_keys")))
-    return paired.agg(*aggregates).select(F.inline(F.array(*structs)))
+            aggregates.append(f"count_if(n0 = 1 AND n{i} = 1 AND NOT {same}) AS bad{i}_{j}")
+            if floating:
+                aggregates.append(f"max(CASE WHEN n0 = 1 AND n{i} = 1 THEN "
+                                  f"{_relative_error(x, y)} END) AS worst{i}_{j}")
+            columns.append((_text(f.name), "'float'" if floating else "'exact'",
+                            f"bad{i}_{j}"))
+        for column, kind, bad in columns:
+            worst = (f"CAST({bad.replace('bad', 'worst')} AS DOUBLE)" if kind == "'float'"
+                     else "CAST(NULL AS DOUBLE)")
+            rows.append(
+                f"named_struct('baseline', {_text(baseline)}, 'other', {_text(name)}, "
+                f"'column', {column}, 'kind', {kind}, 'compared', compared{i}, "
+                f"'mismatches', {bad}, 'worst_rel_error', {worst}, "
+                f"'left_only', left_only{i}, 'right_only', right_only{i}, "
+                f"'duplicate_keys', duplicates{i})")
+    return paired.agg(*map(F.expr, aggregates)).select(
+        F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def diff_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], **options) -> DataFrame:

@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from tallyloom.operators import ranking
 from tallyloom.plans import trips
 from tallyloom.plans.star import table
-from tallyloom.sources import synthetic
+from tallyloom.sources import files, synthetic
 
 
 def made_trips(spark: SparkSession, sf: str, **options) -> DataFrame:
-    """Uniforms come from md5, so that other engines can repeat them."""
-    ids = table(spark, sf, "orders").select("o_orderkey")
-    return synthetic.trips(ids, id_column="o_orderkey", portable=True, **options)
+    ids = files.spread_small(table(spark, sf, "orders").select("o_orderkey"))
+    return synthetic.trips(ids, id_column="o_orderkey", **options)
 
 
 def made_zones(spark: SparkSession) -> DataFrame:
-    return synthetic.zones(synthetic.zone_ids(spark), portable=True)
+    return synthetic.zones(synthetic.zone_ids(spark))
 
 
 def gen_trips(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,7 +27,7 @@ def gen_trips(spark: SparkSession, sf: str) -> DataFrame:
 def gen_zones(spark: SparkSession, sf: str) -> DataFrame:
     """One zone per supplier."""
     ids = table(spark, sf, "supplier").select("s_suppkey")
-    return synthetic.zones(ids, id_column="s_suppkey", portable=True)
+    return synthetic.zones(ids, id_column="s_suppkey")
 
 
 def gen_trips_skewed(spark: SparkSession, sf: str) -> DataFrame:

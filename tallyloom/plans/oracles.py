@@ -257,31 +257,45 @@ MEASURE_LARGEST = f"""
 # Generated trips
 
 
-def uniform(number: int, key: str) -> str:
-    block, lane = divmod(number, 4)
-    word = f"substr(md5('0-{block}-' || CAST({key} AS VARCHAR)), {lane * 8 + 1}, 8)"
-    return f"((CAST(('0x' || {word})::BIGINT AS DOUBLE) + 0.5e0) / 4294967296e0)"
+MASK = "4294967295"
+
+
+def mix(x: str, shift: int) -> str:
+    return f"((xor(({x}) >> {shift}, {x}) * 73244475) & {MASK})"
+
+
+def words(source: str, key: str, columns: str) -> str:
+    """The two words a and b that the uniforms of seed 0 start from (0x9e3779b9 times 1, 2)."""
+    return f"""
+    SELECT *, {mix("t", 16)} AS b
+    FROM (SELECT *, xor(xor(xor(a >> 16, a), id >> 32), 1013904242) AS t
+          FROM (SELECT *, {mix("s", 15)} AS a
+                FROM (SELECT *, {mix(f"xor(id & {MASK}, 2654435769)", 16)} AS s
+                      FROM (SELECT {columns}, CAST({key} AS BIGINT) AS id FROM {source}) i0
+                ) i1) i2) i3"""
+
+
+def uniform(number: int) -> str:
+    y = mix(mix(f"((a + b * {number + 1}) & {MASK})", 16), 15)
+    return f"((CAST(xor(({y}) >> 16, {y}) AS DOUBLE) + 0.5e0) / 4294967296e0)"
 
 
 def zones(source: str, key: str) -> str:
-    u = uniform(16, key)
     return f"""
-    SELECT CAST({key} AS INTEGER) AS zone_id,
-           CASE WHEN {u} < 0.35e0 THEN 'Manhattan' WHEN {u} < 0.6e0 THEN 'Brooklyn'
-                WHEN {u} < 0.8e0 THEN 'Queens' WHEN {u} < 0.93e0 THEN 'Bronx'
-                WHEN {u} < 0.98e0 THEN 'Staten Island' ELSE 'EWR' END AS borough,
-           printf('Zone %03d', CAST({key} AS INTEGER)) AS zone_name
-    FROM {source}"""
+    SELECT CAST(id AS INTEGER) AS zone_id,
+           CASE WHEN u < 0.35e0 THEN 'Manhattan' WHEN u < 0.6e0 THEN 'Brooklyn'
+                WHEN u < 0.8e0 THEN 'Queens' WHEN u < 0.93e0 THEN 'Bronx'
+                WHEN u < 0.98e0 THEN 'Staten Island' ELSE 'EWR' END AS borough,
+           printf('Zone %03d', CAST(id AS INTEGER)) AS zone_name
+    FROM (SELECT id, {uniform(16)} AS u FROM ({words(source, key, key)}) w) drawn"""
 
 
 def trips(hot_share: float | None = None) -> str:
-    def u(number: int) -> str:
-        return uniform(number, "o_orderkey")
-
     two_pi = "6.283185307179586e0"
-    zone = f"CAST(floor({u(0)} * 265) + 1 AS INTEGER)"
+    zone = "CAST(floor(u0 * 265) + 1 AS INTEGER)"
     if hot_share is not None:
-        zone = f"CASE WHEN {u(1)} < {hot_share}e0 THEN 132 ELSE {zone} END"
+        zone = f"CASE WHEN u1 < {hot_share}e0 THEN 132 ELSE {zone} END"
+    streams = ", ".join(f"{uniform(k)} AS u{k}" for k in range(16))
     return f"""
     SELECT trip_id, vendor_id, pickup_zone_id, dropoff_zone_id, pickup_ts,
            pickup_ts + duration_s AS dropoff_ts, passenger_count,
@@ -293,26 +307,28 @@ def trips(hot_share: float | None = None) -> str:
           FROM (SELECT *, CAST(floor(least(greatest(km / kmh * 3600 + stop_s, 5e0), 28800e0))
                           AS BIGINT) AS duration_s
                 FROM (
-        SELECT CAST(o_orderkey AS BIGINT) AS trip_id,
-               CAST(floor({u(11)} * 3) + 1 AS SMALLINT) AS vendor_id,
+        SELECT id AS trip_id,
+               CAST(floor(u11 * 3) + 1 AS SMALLINT) AS vendor_id,
                {zone} AS pickup_zone_id,
-               CAST(floor({u(12)} * 265) + 1 AS INTEGER) AS dropoff_zone_id,
-               CAST(floor(floor({u(2)} * 30) * 86400
-                    + least(greatest(CASE WHEN {u(3)} < 0.5e0 THEN 8.5e0 ELSE 18e0 END
-                      + sqrt(ln({u(4)}) * -2e0) * cos({u(5)} * {two_pi}) * 3e0, 0e0), 23.999e0)
-                      * 3600 + {u(6)} * 60) AS BIGINT) + 1704067200 AS pickup_ts,
-               CAST(floor({u(13)} * 6) + 1 AS SMALLINT) AS passenger_count,
-               CASE WHEN {u(14)} < 0.7e0 THEN 'card' WHEN {u(14)} < 0.9e0 THEN 'cash'
+               CAST(floor(u12 * 265) + 1 AS INTEGER) AS dropoff_zone_id,
+               CAST(floor(floor(u2 * 30) * 86400
+                    + least(greatest(CASE WHEN u3 < 0.5e0 THEN 8.5e0 ELSE 18e0 END
+                      + sqrt(ln(u4) * -2e0) * cos(u5 * {two_pi}) * 3e0, 0e0), 23.999e0)
+                      * 3600 + u6 * 60) AS BIGINT) + 1704067200 AS pickup_ts,
+               CAST(floor(u13 * 6) + 1 AS SMALLINT) AS passenger_count,
+               CASE WHEN u14 < 0.7e0 THEN 'card' WHEN u14 < 0.9e0 THEN 'cash'
                     ELSE 'wallet' END AS payment_type,
-               floor(exp(sqrt(ln({u(4)}) * -2e0) * sin({u(5)} * {two_pi}) * 0.85e0 + 0.7e0)
+               floor(exp(sqrt(ln(u4) * -2e0) * sin(u5 * {two_pi}) * 0.85e0 + 0.7e0)
                      * 100 + 0.5e0) / 100 AS km,
-               {u(7)} * 37e0 + 8e0 AS kmh,
-               sqrt(ln({u(8)}) * -2e0) * cos({u(9)} * {two_pi}) * 60e0 + 120e0 AS stop_s,
-               CASE WHEN {u(10)} < 0.25e0 THEN 0e0 WHEN {u(10)} < 0.4e0 THEN 0.1e0
-                    WHEN {u(10)} < 0.65e0 THEN 0.15e0 WHEN {u(10)} < 0.9e0 THEN 0.2e0
+               u7 * 37e0 + 8e0 AS kmh,
+               sqrt(ln(u8) * -2e0) * cos(u9 * {two_pi}) * 60e0 + 120e0 AS stop_s,
+               CASE WHEN u10 < 0.25e0 THEN 0e0 WHEN u10 < 0.4e0 THEN 0.1e0
+                    WHEN u10 < 0.65e0 THEN 0.15e0 WHEN u10 < 0.9e0 THEN 0.2e0
                     ELSE 0.25e0 END AS tip_rate,
-               {u(15)} < 0.04e0 AS dirty
-        FROM orders) drawn) timed) priced"""
+               u15 < 0.04e0 AS dirty
+        FROM (SELECT id, {streams}
+              FROM ({words("orders", "o_orderkey", "o_orderkey")}) w) drawn
+        ) shaped) timed) priced"""
 
 
 GEN_DIRTY_RATE = f"""

@@ -26,8 +26,27 @@ MEASURES = groups.Measures(
 GROUP = ["r_name", "ship_month"]
 
 
+# Declared, so that building a query opens no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return files.read_parquet(spark, f"{sf}/{name}.parquet")
+    return files.read_parquet(spark, f"{sf}/{name}.parquet", schema=SCHEMAS[name])
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +194,7 @@ def top_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def supplier_campaigns(spark: SparkSession, sf: str) -> DataFrame:
     """One campaign per part, dealt out to the suppliers in turn."""
-    suppliers = files.row_count(spark, f"{sf}/supplier.parquet")
+    suppliers = table(spark, sf, "supplier").count()
     return synthetic.campaigns(table(spark, sf, "part").select("p_partkey"),
                                id_column="p_partkey", keys=suppliers, first_key=0)
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyloom.functions.sizing import as_bytes, scanned_bytes
+
 
 def read_parquet(spark: SparkSession, *paths: str, schema: StructType | str | None = None,
                  columns: list[str] | None = None) -> DataFrame:
@@ -45,6 +47,17 @@ def spread(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when its source is too small to give each a task.
+
+    A larger source is left as it is scanned, so no shuffle is added where it would cost.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spread(df, cores) if scanned_bytes(df) < cores * as_bytes(whole) else df
+
+
 def write_parquet(df: DataFrame, path: str, *, mode: str = "errorifexists",
                   partition_by: list[str] | None = None) -> None:
     """Snappy Parquet, one file per task.

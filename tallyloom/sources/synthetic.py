@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schemas as S
@@ -25,14 +25,21 @@ def trip_ids(spark: SparkSession, scale: str) -> DataFrame:
 
 
 def trips(ids: DataFrame, *, id_column: str = "id", skew: bool = False,
-          hot_share: float = S.HOT_SHARE, seed: int = 0, portable: bool = False) -> DataFrame:
+          hot_share: float = S.HOT_SHARE, seed: int = 0) -> DataFrame:
     """One trip per row of ``ids``, in the ``TRIPS`` schema.
 
     With ``skew`` a share of the trips starts in the hot zone. About 4% of the rows are dirty:
     distance 0 and fare -1, with tip and duration left as they were. Narrow: one pass over the
     ids, no shuffle.
     """
-    u = Uniforms(id_column, seed, portable).stream
+    uniforms = Uniforms(id_column, seed)
+    drawn = _computed_once(uniforms.prepared(ids).select(
+        F.col(id_column).cast("bigint").alias("trip_id"),
+        *[uniforms.stream(k).alias(f"u{k}") for k in range(16)]))
+
+    def u(number: int) -> Column:
+        return F.col(f"u{number}")
+
     zone = uniform_int(u(0), 1, S.N_ZONES)
     if skew:
         zone = F.when(u(1) < hot_share, F.lit(S.HOT_ZONE)).otherwise(zone)
@@ -44,8 +51,8 @@ def trips(ids: DataFrame, *, id_column: str = "id", skew: bool = False,
                 0.0, 23.999)
     day = F.floor(u(2) * DAYS)
     start = F.floor(day * 86_400 + hour * 3600 + u(6) * 60) + FIRST_SECOND
-    drawn = ids.select(
-        F.col(id_column).cast("bigint").alias("trip_id"),
+    shaped = _computed_once(drawn.select(
+        "trip_id",
         uniform_int(u(11), 1, 3, "smallint").alias("vendor_id"),
         zone.alias("pickup_zone_id"),
         uniform_int(u(12), 1, S.N_ZONES).alias("dropoff_zone_id"),
@@ -57,8 +64,8 @@ def trips(ids: DataFrame, *, id_column: str = "id", skew: bool = False,
         (extra * 60.0 + 120.0).alias("stop_s"),
         weighted_choice(u(10), S.TIP_WEIGHTS).alias("tip_rate"),
         (u(15) < DIRTY_SHARE).alias("dirty"),
-    )
-    timed = drawn.withColumn("duration_s", F.floor(
+    ))
+    timed = shaped.withColumn("duration_s", F.floor(
         clip(F.col("km") / F.col("kmh") * 3600 + F.col("stop_s"), 5.0, 28_800.0)))
     priced = timed.withColumn(
         "fare", cents(F.col("km") * 2.6 + 3.0 + F.col("duration_s") / 60.0 * 0.45))
@@ -73,11 +80,20 @@ def trips(ids: DataFrame, *, id_column: str = "id", skew: bool = False,
     )
 
 
-def zones(ids: DataFrame, *, id_column: str = "id", seed: int = 0,
-          portable: bool = False) -> DataFrame:
+def _computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, but the optimizer copies none of their expressions further up.
+
+    inline() of a one-element array keeps a row as it is. Filters and projections are not
+    merged across it, so costly columns are not computed again for each of their uses.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
+def zones(ids: DataFrame, *, id_column: str = "id", seed: int = 0) -> DataFrame:
     """One zone per row of ``ids``: a weighted borough and a zero-padded name."""
-    pick = Uniforms(id_column, seed, portable).stream(16)
-    return ids.select(
+    uniforms = Uniforms(id_column, seed)
+    pick = uniforms.stream(16)
+    return uniforms.prepared(ids).select(
         F.col(id_column).cast("int").alias("zone_id"),
         weighted_choice(pick, S.BOROUGH_WEIGHTS).alias("borough"),
         F.format_string("Zone %03d", F.col(id_column).cast("int")).alias("zone_name"),
