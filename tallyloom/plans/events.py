@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.scalar import epoch_seconds, hour_of_day
 from tallyloom.operators import groups, measure, quality
-from tallyloom.plans.star import regions, table
+from tallyloom.plans.star import is_small, regions, table
 
 MEASURES = groups.Measures(
     counts={"n": "event_id"},
@@ -23,8 +23,9 @@ def events_region_hour(spark: SparkSession, sf: str) -> DataFrame:
     kept = quality.clean(events, [quality.Rule("value", F.col("value"), 0.1, 200.0)])
     hourly = kept.withColumn("hour", hour_of_day(epoch_seconds(kept, "ts")))
     users = regions(spark, sf, "customer", "c_custkey", "c_nationkey")
+    small = is_small(spark, sf, "customer", "c_custkey", "c_nationkey")
     result = groups.aggregate_by_dimension(hourly, users, "user_id", "c_custkey", ["hour"],
-                                           ["r_name"], MEASURES)
+                                           ["r_name"], MEASURES, broadcast=small)
     return result.select(
         "r_name", "hour", "n", F.round("amount", 2).alias("amount"),
         F.round("avg_value", 6).alias("avg_value"), "max_value", "n_types",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.sizing import fits_broadcast
+from tallyloom.functions.sizing import BROADCAST_BYTES, fits_broadcast
 from tallyloom.operators import diff, groups, quality, ranking, rollup, skew
 from tallyloom.operators.enrich import attach
 from tallyloom.schemas import TOP_N
@@ -99,6 +99,19 @@ def supplier_regions(spark: SparkSession, sf: str) -> DataFrame:
     return regions(spark, sf, "supplier", "s_suppkey", "s_nationkey")
 
 
+def is_small(spark: SparkSession, sf: str, name: str, key: str, nation: str) -> bool:
+    """Whether the table's regions may be broadcast.
+
+    Measured on the table itself, whose two columns have a fixed width, so its rows are
+    counted from the footers. The lookup gives each row one region name and adds none.
+    """
+    return fits_broadcast(table(spark, sf, name).select(key, nation), BROADCAST_BYTES // 2)
+
+
+def suppliers_small(spark: SparkSession, sf: str) -> bool:
+    return is_small(spark, sf, "supplier", "s_suppkey", "s_nationkey")
+
+
 def shown(result: DataFrame) -> DataFrame:
     return result.select(
         "r_name", "ship_month", "n", F.round("revenue", 2).alias("revenue"),
@@ -109,7 +122,7 @@ def shown(result: DataFrame) -> DataFrame:
 def region_month(spark: SparkSession, sf: str) -> DataFrame:
     return groups.aggregate_by_dimension(
         kept(spark, sf), supplier_regions(spark, sf), "l_suppkey", "s_suppkey",
-        ["ship_month"], ["r_name"], MEASURES)
+        ["ship_month"], ["r_name"], MEASURES, broadcast=suppliers_small(spark, sf))
 
 
 def region_month_agg(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,7 +141,8 @@ def top_per_region(spark: SparkSession, sf: str) -> DataFrame:
     # one row per supplier before the dimension is attached
     totals = kept(spark, sf).groupBy("l_suppkey").agg(
         F.sum("total").alias("revenue"), F.count("l_orderkey").alias("n"))
-    named = attach(totals, supplier_regions(spark, sf), "l_suppkey", "s_suppkey")
+    named = attach(totals, supplier_regions(spark, sf), "l_suppkey", "s_suppkey",
+                   broadcast=suppliers_small(spark, sf))
     return ranked(named).orderBy("r_name", "rank")
 
 
@@ -164,7 +178,8 @@ def dim_join(spark: SparkSession, sf: str) -> DataFrame:
     per_key = groups.Measures(counts={"n": "*"}, sums={"quantity": "l_quantity"})
     return groups.aggregate_by_dimension(
         table(spark, sf, "lineitem").select("l_suppkey", "l_quantity"),
-        supplier_regions(spark, sf), "l_suppkey", "s_suppkey", [], ["r_name"], per_key)
+        supplier_regions(spark, sf), "l_suppkey", "s_suppkey", [], ["r_name"], per_key,
+        broadcast=suppliers_small(spark, sf))
 
 
 # Skew
@@ -228,16 +243,18 @@ def skew_join(kind: str, percent: int = 30) -> Callable[[SparkSession, str], Dat
 # Rollups
 
 
-def with_order_month(rows: DataFrame) -> DataFrame:
+def with_order_dates(rows: DataFrame) -> DataFrame:
     month = F.year("o_orderdate") * 100 + F.month("o_orderdate")
-    return rows.withColumn("order_month", month.cast("bigint"))
+    return rows.withColumns({"order_month": month.cast("bigint"),
+                             "order_year": F.year("o_orderdate").cast("bigint")})
 
 
-def region_slices(spark: SparkSession, sf: str) -> DataFrame:
-    """Partials per (order month, region, ship month)."""
+def region_slices(spark: SparkSession, sf: str, part: str = "order_month") -> DataFrame:
+    """Partials per (part, region, ship month)."""
     return groups.partial_by_dimension(
-        with_order_month(kept(spark, sf)), supplier_regions(spark, sf), "l_suppkey",
-        "s_suppkey", ["order_month", "ship_month"], ["r_name"], MEASURES)
+        with_order_dates(kept(spark, sf)), supplier_regions(spark, sf), "l_suppkey",
+        "s_suppkey", [part, "ship_month"], ["r_name"], MEASURES,
+        broadcast=suppliers_small(spark, sf))
 
 
 def rollup_partial(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,9 +267,9 @@ def rollup_partial(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rollup_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored slices, read back and merged."""
+    """Slices stored by order year, read back and merged."""
     path = files.fresh_path(spark, "rollup")
-    rollup.store_slices(region_slices(spark, sf), path, "order_month")
+    rollup.store_slices(region_slices(spark, sf, "order_year"), path, "order_year")
     return shown(rollup.answer(rollup.load(spark, path), GROUP, MEASURES)).orderBy(*GROUP)
 
 
@@ -264,10 +281,11 @@ def rollup_distinct_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def rollup_top(spark: SparkSession, sf: str) -> DataFrame:
     per_supplier = groups.Measures(counts={"n": "l_orderkey"}, sums={"revenue": "total"})
-    slices = rollup.slices(with_order_month(kept(spark, sf)), "order_month", ["l_suppkey"],
+    slices = rollup.slices(with_order_dates(kept(spark, sf)), "order_month", ["l_suppkey"],
                            per_supplier)
     totals = rollup.answer(slices, ["l_suppkey"], per_supplier)
-    named = attach(totals, supplier_regions(spark, sf), "l_suppkey", "s_suppkey")
+    named = attach(totals, supplier_regions(spark, sf), "l_suppkey", "s_suppkey",
+                   broadcast=suppliers_small(spark, sf))
     return ranked(named).orderBy("r_name", "rank")
 
 
@@ -341,7 +359,7 @@ def table_diff_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 def repartition_invariance(spark: SparkSession, sf: str) -> DataFrame:
     dim = supplier_regions(spark, sf)
-    small = fits_broadcast(dim)
+    small = suppliers_small(spark, sf)
 
     def query(fact: DataFrame) -> DataFrame:
         return groups.aggregate_by_dimension(

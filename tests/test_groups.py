@@ -1,0 +1,97 @@
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallyloom.operators import diff, groups, rollup
+from tallyloom.sources import files
+
+M = groups.Measures(counts={"n": "x", "rows": "*"}, sums={"total": "x"}, means={"mean": "x"},
+                    maxes={"top": "x"}, distincts={"kinds": "kind", "people": "who"})
+SCHEMA = "part int, g string, x double, kind int, who string"
+
+row = st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None]),
+                st.one_of(st.none(), st.integers(-50, 50).map(float)),
+                st.one_of(st.none(), st.integers(0, 3)),
+                st.one_of(st.none(), st.sampled_from(["p", "q", "r"])))
+
+
+def brute(rows):
+    out = {}
+    for g in {r[1] for r in rows}:
+        mine = [r for r in rows if r[1] == g]
+        xs = [r[2] for r in mine if r[2] is not None]
+        out[g] = (len(xs), len(mine), sum(xs) if xs else None,
+                  sum(xs) / len(xs) if xs else None, max(xs) if xs else None,
+                  len({r[3] for r in mine} - {None}), len({r[4] for r in mine} - {None}))
+    return out
+
+
+def as_dict(df):
+    return {r.g: (r.n, r.rows, r.total, r["mean"], r.top, r.kinds, r.people)
+            for r in df.collect()}
+
+
+def same(a, b):
+    return a.keys() == b.keys() and all(
+        (x is None and y is None) or (x is not None and y is not None
+                                      and math.isclose(x, y, rel_tol=1e-12))
+        for g in a for x, y in zip(a[g], b[g]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(row, min_size=1, max_size=40))
+def test_direct_partial_and_merged_agree_with_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    expected = brute(rows)
+    assert same(as_dict(groups.aggregate(df, ["g"], M)), expected)
+    slices = rollup.slices(df, "part", ["g"], M)
+    assert same(as_dict(rollup.answer(slices, ["g"], M)), expected)
+    # merging twice, first to a finer and then to the final grain, changes nothing
+    compacted = rollup.compact(slices, ["g"], M)
+    assert compacted.columns == [c for c in slices.columns if c != "part"]
+    assert same(as_dict(rollup.answer(compacted, ["g"], M)), expected)
+
+
+def test_same_value_in_two_partials_counts_once(spark):
+    df = spark.createDataFrame([(1, "a", 1.0, 7, "p"), (2, "a", 2.0, 7, "p")], SCHEMA)
+    out = rollup.answer(rollup.slices(df, "part", ["g"], M), ["g"], M).first()
+    assert (out.kinds, out.people, out.total) == (1, 1, 3.0)
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    direct = groups.aggregate(df, ["g"], M)
+    merged = rollup.answer(rollup.slices(df, "part", ["g"], M), ["g"], M)
+    assert direct.count() == merged.count() == 0
+    assert direct.dtypes == merged.dtypes
+
+
+def test_stored_slices_can_be_added_and_replaced(spark):
+    old = [(1, "a", 1.0, 1, "p"), (1, "b", 5.0, 2, "q")]
+    new = [(2, "a", 3.0, 1, "r"), (2, "a", 4.0, 3, "p")]
+    path = files.fresh_path(spark, "test-rollup")
+    make = lambda rows: rollup.slices(spark.createDataFrame(rows, SCHEMA), "part", ["g"], M)
+    rollup.store_slices(make(old), path, "part")
+    rollup.store_slices(make(new), path, "part")
+    rollup.store_slices(make(new), path, "part")  # the same slice again, as after a failure
+    answer = rollup.answer(rollup.load(spark, path), ["g"], M)
+    assert same(as_dict(answer), brute(old + new))
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_dimension_groups_do_not_depend_on_the_join(spark, broadcast):
+    facts = spark.createDataFrame(
+        [(i % 3, "a", float(i), i % 4, "p") for i in range(60)] + [(9, "a", 1.0, 1, "p")], SCHEMA)
+    dim = spark.createDataFrame([(0, "x"), (1, "y"), (2, "x"), (None, "z")], "k int, label string")
+    out = groups.aggregate_by_dimension(facts, dim, "part", "k", ["g"], ["label"], M,
+                                        broadcast=broadcast)
+    expected = groups.aggregate(facts.join(dim, facts.part == dim.k), ["label", "g"], M)
+    diff.require_same(diff.diff_tables(expected, out, ["label", "g"]))
+    state = groups.partial_by_dimension(facts, dim, "part", "k", ["g"], ["label"], M,
+                                        broadcast=broadcast)
+    diff.require_same(diff.diff_tables(expected, groups.finish(state, ["label", "g"], M),
+                                       ["label", "g"]))
+    assert out.filter(F.col("label") == "z").count() == 0
