@@ -77,9 +77,13 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header, read with a declared schema; a malformed line is an error."""
+    """CSV with a header, read with a declared schema; a malformed line is an error.
+
+    An empty field is null and a quoted empty field is an empty string.
+    """
+    # a null marker that occurs in no file, so that quoted empty fields are not taken for null
     return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("mode", "FAILFAST").csv(path))
+            .option("nullValue", "\0").option("mode", "FAILFAST").csv(path))
 
 
 def write_json(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
