@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.sources.files import cut_lineage
+
 SALT = "_salt"
 SALTS = 16  # fixed value: default number of salts of the uniform salted join
 
@@ -36,16 +38,22 @@ def task_target(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+PIECES_PER_TASK = 4
+
+
 def salt_counts(df: DataFrame, key: str, tasks: int) -> DataFrame:
     """The hot keys, and into how many pieces each should be cut.
 
     Hot means more rows than a balanced task would get, a share above 1/tasks. Shares add up
-    to 1, so there are fewer than ``tasks`` hot keys whatever the size of the data.
+    to 1, so there are fewer than ``tasks`` hot keys whatever the size of the data. A key is
+    cut into a few pieces per balanced task, because pieces are dealt to tasks by hash.
+
+    The keys are counted once, here; the list is stored so that every use sees the same one.
     """
     profile = key_profile(df.filter(F.col(key).isNotNull()), key, tasks)
-    return profile.filter(F.col("share") * tasks > 1).select(
+    return cut_lineage(profile.filter(F.col("share") * tasks > 1).select(
         F.col(key).alias("_hot_key"),
-        F.ceil(F.col("share") * tasks).cast("int").alias("_salts"))
+        F.ceil(F.col("share") * tasks * PIECES_PER_TASK).cast("int").alias("_salts")))
 
 
 def salt(stable: Sequence[str], salts: int | Column) -> Column:
@@ -79,15 +87,15 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
 
 
 def selective_salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                          stable: Sequence[str], tasks: int | None = None) -> DataFrame:
-    """Like :func:`salted_join`, but only hot keys are cut, each by its own share.
+                          stable: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+    """Like :func:`salted_join`, but only hot keys are cut, each in proportion to its share.
 
-    A hot key holding share s of the rows is cut into ceil(s * tasks) pieces, one balanced
-    task each, and only its rows of the small side are replicated. The list of hot keys has
-    fewer than ``tasks`` rows by construction, which bounds its broadcast.
+    Only the small side's rows of hot keys are replicated. ``hot`` is the result of
+    :func:`salt_counts`, by default for the session's number of reduce tasks; it has fewer
+    rows than there are tasks by construction, which bounds its broadcast.
     """
-    tasks = tasks or task_target(big)
-    hot = salt_counts(big.select(big_key), big_key, tasks)
+    if hot is None:
+        hot = salt_counts(big.select(big_key), big_key, task_target(big))
 
     def marked(side: DataFrame, key: str) -> DataFrame:
         return side.join(F.broadcast(hot), side[key] == hot["_hot_key"], "left").drop("_hot_key")

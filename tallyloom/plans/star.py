@@ -185,25 +185,27 @@ def dim_join(spark: SparkSession, sf: str) -> DataFrame:
 # Skew
 
 
-def skewed_lines(spark: SparkSession, sf: str, percent: int) -> DataFrame:
+def skewed_lines(spark: SparkSession, sf: str, percent: int, *extra: str) -> DataFrame:
     """Line items whose key is the hot supplier for about ``percent`` of the orders."""
+    items = table(spark, sf, "lineitem")
+    if "row_in_file" in extra:
+        items = files.with_row_number_in_file(items)
     hot = F.col("l_orderkey") % 100 < percent
-    items = files.with_row_number_in_file(table(spark, sf, "lineitem"))
     return items.select(
         F.when(hot, F.lit(HOT_SUPPLIER)).otherwise(F.col("l_suppkey")).cast("bigint")
-        .alias("key"), "row_in_file")
+        .alias("key"), *extra)
 
 
 def key_profile(percent: int) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        profile = skew.key_profile(skewed_lines(spark, sf, percent).select("key"), "key", CORES)
+        profile = skew.key_profile(skewed_lines(spark, sf, percent), "key", CORES)
         return profile.select("key", "rows", F.round("share", 9).alias("share"),
                               F.round("gain_bound", 9).alias("gain_bound"))
     return query
 
 
 def top_keys(spark: SparkSession, sf: str) -> DataFrame:
-    profile = skew.key_profile(skewed_lines(spark, sf, 30).select("key"), "key", CORES)
+    profile = skew.key_profile(skewed_lines(spark, sf, 30), "key", CORES)
     return ranking.top_k(profile.select("key", "rows"), "rows", "key", 3)
 
 
@@ -225,17 +227,21 @@ def salt_replicate(spark: SparkSession, sf: str) -> DataFrame:
 
 def skew_join(kind: str, percent: int = 30) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        big = skewed_lines(spark, sf, percent)
+        keys = skewed_lines(spark, sf, percent)
         small = supplier_campaigns(spark, sf)
         if kind == "preagg":
-            return skew.preaggregated_totals(big, small, "key", "zone_id", "campaign_budget",
+            return skew.preaggregated_totals(keys, small, "key", "zone_id", "campaign_budget",
                                              "budget", "n")
         if kind == "plain":
-            joined = skew.plain_join(big.select("key"), small, "key", "zone_id")
-        elif kind == "salted":
-            joined = skew.salted_join(big, small, "key", "zone_id", ["row_in_file"])
+            joined = skew.plain_join(keys, small, "key", "zone_id")
         else:
-            joined = skew.selective_salted_join(big, small, "key", "zone_id", ["row_in_file"])
+            rows = skewed_lines(spark, sf, percent, "row_in_file")
+            if kind == "salted":
+                joined = skew.salted_join(rows, small, "key", "zone_id", ["row_in_file"])
+            else:
+                hot = skew.salt_counts(keys, "key", skew.task_target(keys))
+                joined = skew.selective_salted_join(rows, small, "key", "zone_id",
+                                                    ["row_in_file"], hot)
         return skew.totals(joined, "key", "campaign_budget", "budget", "n")
     return query
 
