@@ -23,12 +23,12 @@ def seed_words(seed: int) -> tuple[int, int]:
     return SEED_STEP * (2 * seed + 1) & MASK, SEED_STEP * (2 * seed + 2) & MASK
 
 
-def _fold(x: Column, shift: int) -> Column:
-    return F.shiftright(x, shift).bitwiseXOR(x)
+def _fold(x: str, shift: int) -> str:
+    return f"(shiftright({x}, {shift}) ^ {x})"
 
 
-def _mix(x: Column, shift: int) -> Column:
-    return (_fold(x, shift) * MULTIPLIER).bitwiseAND(F.lit(MASK))
+def _mix(x: str, shift: int) -> str:
+    return f"(({_fold(x, shift)} * {MULTIPLIER}L) & {MASK}L)"
 
 
 @dataclass(frozen=True)
@@ -44,18 +44,17 @@ class Uniforms:
     def prepared(self, ids: DataFrame) -> DataFrame:
         """The ids with the two words that every stream starts from."""
         first, second = seed_words(self.seed)
-        row = F.col(self.id_column).cast("bigint")
-        low, high = row.bitwiseAND(F.lit(MASK)), F.shiftright(row, 32).bitwiseAND(F.lit(MASK))
-        return (ids.withColumn("_s", _mix(low.bitwiseXOR(F.lit(first)), 16))
-                .withColumn("_a", _mix(F.col("_s"), 15))
-                .withColumn("_t", _fold(F.col("_a"), 16).bitwiseXOR(high)
-                            .bitwiseXOR(F.lit(second)))
-                .withColumn("_b", _mix(F.col("_t"), 16)))
+        row = f"CAST(`{self.id_column}` AS BIGINT)"
+        high = f"(shiftright({row}, 32) & {MASK}L)"
+        return (ids.withColumn("_s", F.expr(_mix(f"(({row} & {MASK}L) ^ {first}L)", 16)))
+                .withColumn("_a", F.expr(_mix("_s", 15)))
+                .withColumn("_t", F.expr(f"({_fold('_a', 16)} ^ {high} ^ {second}L)"))
+                .withColumn("_b", F.expr(_mix("_t", 16))))
 
     def stream(self, number: int) -> Column:
-        start = (F.col("_a") + F.col("_b") * (number + 1)).bitwiseAND(F.lit(MASK))
+        start = f"((_a + _b * {number + 1}L) & {MASK}L)"
         word = _fold(_mix(_mix(start, 16), 15), 16)
-        return (word.cast("double") + 0.5) / float(2 ** 32)
+        return F.expr(f"(CAST({word} AS DOUBLE) + 0.5D) / {float(2 ** 32)!r}D")
 
 
 def normal_pair(u: Column, v: Column) -> tuple[Column, Column]:
