@@ -17,6 +17,15 @@ def cents(value: Column) -> Column:
     return F.floor(value * 100 + 0.5) / 100
 
 
+def settled_mean(mean: Column, count: Column, digits: int) -> Column:
+    """A mean whose sum is rounded, not the mean itself.
+
+    The sum of values with few decimals is never near a rounding edge, while their mean often
+    is exactly on one, where the order of a float sum would decide.
+    """
+    return F.round(mean * count, digits) / count
+
+
 def hour_of_day(epoch_s: Column) -> Column:
     """UTC hour 0..23 (bigint) of an epoch-second column; also right before 1970."""
     return F.floor(F.pmod(epoch_s, F.lit(86_400)) / 3600)

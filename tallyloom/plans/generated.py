@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.scalar import settled_mean
 from tallyloom.operators import ranking
 from tallyloom.plans import trips
 from tallyloom.plans.star import table
@@ -49,15 +50,22 @@ def gen_dirty_rate(spark: SparkSession, sf: str) -> DataFrame:
     either = (F.col("trip_distance_km") == 0) | (F.col("fare_amount") == -1)
     return made.agg(F.count(F.lit(1)).alias("n"), F.count_if(dirty).alias("dirty"),
                     F.count_if(either).alias("either"),
-                    F.round(F.try_divide(F.count_if(dirty), F.count(F.lit(1))), 9)
-                    .alias("share"))
+                    F.try_divide(F.count_if(dirty), F.count(F.lit(1))).alias("share"))
+
+
+def settled(result: DataFrame) -> DataFrame:
+    """Float noise removed, so that engines summing in another order agree."""
+    return result.withColumns({
+        "total_revenue": F.round("total_revenue", 2),
+        "avg_fare": settled_mean(F.col("avg_fare"), F.col("trips"), 2),
+        "avg_tip_pct": F.round("avg_tip_pct", 6),
+        "avg_speed_kmh": F.round("avg_speed_kmh", 6)})
 
 
 def trips_borough_hour(spark: SparkSession, sf: str) -> DataFrame:
     state = trips.zone_hour_state(made_trips(spark, sf))
     result = trips.borough_hour_from_state(state, made_zones(spark))
-    rounded = {"total_revenue": 2, "avg_fare": 4, "avg_tip_pct": 6, "avg_speed_kmh": 6}
-    return result.withColumns({c: F.round(c, n) for c, n in rounded.items()})
+    return settled(result)
 
 
 def trips_top_zones(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,6 +78,4 @@ def trips_top_zones(spark: SparkSession, sf: str) -> DataFrame:
 def trips_direct(spark: SparkSession, sf: str) -> DataFrame:
     """The same borough result row by row: clean, derive, join, aggregate."""
     joined = trips.prepared(made_trips(spark, sf), made_zones(spark))
-    rounded = {"total_revenue": 2, "avg_fare": 4, "avg_tip_pct": 6, "avg_speed_kmh": 6}
-    return trips.borough_hour(joined).withColumns(
-        {c: F.round(c, n) for c, n in rounded.items()})
+    return settled(trips.borough_hour(joined))

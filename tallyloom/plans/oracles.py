@@ -33,8 +33,8 @@ REGION_MONTH_RAW = f"""
 
 REGION_MONTH = f"""
     SELECT r_name, ship_month, n, round(revenue, 2) AS revenue,
-           round(avg_price, 4) AS avg_price, round(avg_rate, 6) AS avg_rate,
-           round(avg_tax_pct, 6) AS avg_tax_pct, max_quantity, n_flags
+           round(avg_price * n, 2) / n AS avg_price, round(avg_rate, 6) AS avg_rate,
+           round(avg_tax_pct * n, 6) / n AS avg_tax_pct, max_quantity, n_flags
     FROM ({REGION_MONTH_RAW}) a"""
 
 TOP_PER_REGION = f"""
@@ -56,7 +56,8 @@ ANY_FAILS = " OR ".join(FAILS.values())
 
 EVENTS_REGION_HOUR = """
     SELECT r_name, hour, count(event_id) AS n, round(sum(value), 2) AS amount,
-           round(avg(value), 6) AS avg_value, max(value) AS max_value,
+           round(avg(value) * count(event_id), 2) / count(event_id) AS avg_value,
+           max(value) AS max_value,
            count(DISTINCT event_type) AS n_types
     FROM (SELECT *, CAST(floor((CAST(floor(epoch(ts)) AS BIGINT) % 86400) / 3600) AS BIGINT)
                     AS hour
@@ -75,8 +76,7 @@ def injected(percent: int) -> str:
 
 def key_profile(percent: int) -> str:
     return f"""
-    SELECT key, "rows", round("rows" / total, 9) AS share,
-           round(greatest("rows" / total * 8, 1.0), 9) AS gain_bound
+    SELECT key, "rows", "rows" / total AS share, greatest("rows" / total * 8, 1e0) AS gain_bound
     FROM (SELECT key, count(*) AS "rows" FROM ({injected(percent)}) i GROUP BY key) c,
          (SELECT CAST(count(*) AS DOUBLE) AS total FROM lineitem) t"""
 
@@ -210,39 +210,34 @@ RUNS = """
     FROM events WHERE event_type <> 'error'"""
 
 SUMMARY = f"""
-    SELECT event_type, level, count(*) AS runs, median(value) AS median,
-           min(value) AS min, max(value) AS max, count(*) / median(value) AS per_unit
+    SELECT event_type, level, count(*) AS runs, round(median(value), 6) AS median,
+           min(value) AS min, max(value) AS max, 
+           count(*) / nullif(round(median(value), 6), 0) AS per_unit
     FROM (SELECT *, row_number() OVER (PARTITION BY event_type, level
                                        ORDER BY ts, event_id) AS repetition
           FROM ({RUNS}) r) n
     WHERE repetition > 1 GROUP BY event_type, level"""
 
-MEASURE_SUMMARY = f"""
-    SELECT event_type, level, runs, round(median, 6) AS median, min, max,
-           round(per_unit, 6) AS per_unit
-    FROM ({SUMMARY}) s"""
-
 BASED = f"""
     SELECT s.*, first_value(median) OVER w AS base, first_value(min) OVER w AS base_best
     FROM ({SUMMARY}) s WINDOW w AS (PARTITION BY event_type ORDER BY level)"""
 
 MEASURE_SPEEDUP = f"""
-    SELECT event_type, level, round(base / median, 6) AS speedup,
-           round(base / max, 6) AS speedup_low, round(base / min, 6) AS speedup_high
+    SELECT event_type, level, base / nullif(median, 0) AS speedup,
+           base / nullif(max, 0) AS speedup_low, base / nullif(min, 0) AS speedup_high
     FROM ({BASED}) b"""
 
 MEASURE_THROUGHPUT = f"""
-    SELECT event_type, level, round(base / median / level, 6) AS efficiency,
-           round(base_best * level / min, 6) AS throughput_x
+    SELECT event_type, level, base / nullif(median, 0) / level AS efficiency,
+           base_best * level / nullif(min, 0) AS throughput_x
     FROM ({BASED}) b"""
 
 MEASURE_BEST = f"""
     SELECT event_type, level, min(value) AS best FROM ({RUNS}) r GROUP BY event_type, level"""
 
 MEASURE_COST_RATIO = f"""
-    WITH rates AS (SELECT event_type, level, runs / (median * level) AS rate FROM ({SUMMARY}) s)
-    SELECT a.event_type, a.level, round(a.rate, 6) AS rows_per_s_core,
-           round(b.rate / a.rate, 6) AS cost_ratio
+    WITH rates AS (SELECT event_type, level, runs / nullif(median * level, 0) AS rate FROM ({SUMMARY}) s)
+    SELECT a.event_type, a.level, a.rate AS rows_per_s_core, b.rate / nullif(a.rate, 0) AS cost_ratio
     FROM rates a JOIN rates b ON a.level = b.level AND b.event_type = 'click'"""
 
 MEASURE_LARGEST = f"""
@@ -335,8 +330,8 @@ GEN_DIRTY_RATE = f"""
     SELECT count(*) AS n,
            count(*) FILTER (WHERE trip_distance_km = 0 AND fare_amount = -1) AS dirty,
            count(*) FILTER (WHERE trip_distance_km = 0 OR fare_amount = -1) AS "either",
-           round(count(*) FILTER (WHERE trip_distance_km = 0 AND fare_amount = -1)
-                 / CAST(count(*) AS DOUBLE), 9) AS share
+           count(*) FILTER (WHERE trip_distance_km = 0 AND fare_amount = -1)
+               / CAST(count(*) AS DOUBLE) AS share
     FROM ({trips()}) t"""
 
 JOINED_TRIPS = f"""
@@ -352,7 +347,8 @@ JOINED_TRIPS = f"""
 
 TRIPS_BOROUGH_HOUR = f"""
     SELECT borough, pickup_hour, count(trip_id) AS trips,
-           round(sum(total_amount), 2) AS total_revenue, round(avg(fare_amount), 4) AS avg_fare,
+           round(sum(total_amount), 2) AS total_revenue,
+           round(avg(fare_amount) * count(trip_id), 2) / count(trip_id) AS avg_fare,
            round(avg(tip_pct), 6) AS avg_tip_pct, round(avg(speed_kmh), 6) AS avg_speed_kmh,
            max(trip_distance_km) AS max_distance_km, count(DISTINCT vendor_id) AS n_vendors
     FROM ({JOINED_TRIPS}) j GROUP BY borough, pickup_hour"""
@@ -417,7 +413,7 @@ ORACLES: dict[str, str] = {
     "row_diff": ROW_DIFF,
     "table_diff_gate": TABLE_DIFF_GATE,
     "repartition_invariance": INVARIANCE,
-    "measure_summary": MEASURE_SUMMARY,
+    "measure_summary": SUMMARY,
     "measure_speedup": MEASURE_SPEEDUP,
     "measure_throughput": MEASURE_THROUGHPUT,
     "measure_best": MEASURE_BEST,

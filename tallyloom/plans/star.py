@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.scalar import settled_mean
 from tallyloom.functions.sizing import BROADCAST_BYTES, fits_broadcast
 from tallyloom.operators import diff, groups, quality, ranking, rollup, skew
 from tallyloom.operators.enrich import attach
@@ -115,8 +116,10 @@ def suppliers_small(spark: SparkSession, sf: str) -> bool:
 def shown(result: DataFrame) -> DataFrame:
     return result.select(
         "r_name", "ship_month", "n", F.round("revenue", 2).alias("revenue"),
-        F.round("avg_price", 4).alias("avg_price"), F.round("avg_rate", 6).alias("avg_rate"),
-        F.round("avg_tax_pct", 6).alias("avg_tax_pct"), "max_quantity", "n_flags")
+        settled_mean(F.col("avg_price"), F.col("n"), 2).alias("avg_price"),
+        F.round("avg_rate", 6).alias("avg_rate"),
+        settled_mean(F.col("avg_tax_pct"), F.col("n"), 6).alias("avg_tax_pct"),
+        "max_quantity", "n_flags")
 
 
 def region_month(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,9 +201,7 @@ def skewed_lines(spark: SparkSession, sf: str, percent: int, *extra: str) -> Dat
 
 def key_profile(percent: int) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        profile = skew.key_profile(skewed_lines(spark, sf, percent), "key", CORES)
-        return profile.select("key", "rows", F.round("share", 9).alias("share"),
-                              F.round("gain_bound", 9).alias("gain_bound"))
+        return skew.key_profile(skewed_lines(spark, sf, percent), "key", CORES)
     return query
 
 
