@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import schemas as S
 from tallyloom.functions.scalar import epoch_seconds, hour_of_day
-from tallyloom.operators import groups, quality, ranking, rollup
+from tallyloom.operators import diff, groups, quality, ranking, rollup
 from tallyloom.operators.enrich import attach
 from tallyloom.sources import files
 
@@ -144,3 +144,19 @@ def run(spark: SparkSession, trips_path: str, zones_path: str, out: str) -> dict
     record["default_parallelism"] = spark.sparkContext.defaultParallelism
     files.write_json(spark.createDataFrame([record]), f"{out}/record")
     return record
+
+
+def compare_runs(spark: SparkSession, outs: dict[str, str]) -> DataFrame:
+    """Compare the stored results of several runs with those of the first.
+
+    ``outs`` maps a name to the ``out`` folder of :func:`run`. Pass the report to
+    ``diff.require_same`` to stop on any difference.
+    """
+    results = {"agg": (S.BOROUGH_HOUR, ["borough", "pickup_hour"]),
+               "top_zones": (S.TOP_ZONES, ["borough", "rank"])}
+    reports = []
+    for result, (schema, keys) in results.items():
+        tables = {name: files.read_csv(spark, f"{out}/{result}", schema)
+                  for name, out in outs.items()}
+        reports.append(diff.diff_gate(tables, keys).select(F.lit(result).alias("result"), "*"))
+    return reports[0].unionByName(reports[1])

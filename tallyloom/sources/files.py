@@ -42,6 +42,14 @@ def with_row_number_in_file(df: DataFrame, name: str = "row_in_file") -> DataFra
     return df.withColumn(name, F.col("_metadata.row_index"))
 
 
+def with_file_name(df: DataFrame, name: str = "file") -> DataFrame:
+    """Add the name of the file each row is stored in, a natural part column for rollups.
+
+    Call it directly on a file read.
+    """
+    return df.withColumn(name, F.col("_metadata.file_name"))
+
+
 def spread(df: DataFrame, partitions: int) -> DataFrame:
     """Even round-robin split, for the output of a scan with fewer splits than cores."""
     return df.repartition(partitions)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import schemas as S
 from tallyloom.operators import diff, rollup
+from tallyloom.plans import skew_report
 from tallyloom.plans import trips as plan
 from tallyloom.sources import files, synthetic
 from tests.support.plans import plan as plan_text
@@ -103,6 +104,37 @@ def test_run_writes_results_and_record(spark, data, tables, expected):
     assert stored == record
 
 
+def test_partials_per_file(spark, data, tables, expected):
+    by_file = files.with_file_name(files.read_parquet(spark, f"{data}/trips", schema=S.TRIPS))
+    state = plan.zone_hour_state(by_file, "file")
+    assert state.select("file").distinct().count() == 6
+    check(spark, plan.borough_hour_from_state(state, tables[1]), expected[0], S.BOROUGH_HOUR,
+          ["borough", "pickup_hour"])
+
+
+def test_stored_runs_are_compared(spark, data, tables):
+    outs = {n: files.fresh_path(spark, f"test-{n}") for n in ("first", "same", "other")}
+    plan.run(spark, f"{data}/trips", f"{data}/zones", outs["first"])
+    joined = plan.prepared(*tables)
+    for name, rows in (("same", joined), ("other", joined.filter("trip_id <> 5000"))):
+        files.write_csv(plan.borough_hour(rows), f"{outs[name]}/agg")
+        files.write_csv(plan.top_zones(rows), f"{outs[name]}/top_zones")
+    diff.require_same(plan.compare_runs(spark, {n: outs[n] for n in ("first", "same")}))
+    with pytest.raises(diff.TablesDiffer, match=r"\[first vs other\] trips"):
+        diff.require_same(plan.compare_runs(spark, outs))
+
+
+def test_skew_report(spark, data, tables):
+    camps = synthetic.campaigns(synthetic.campaign_ids(spark, 2))
+    diff.require_same(diff.diff_gate(skew_report.joins(tables[0], camps, 4),
+                                     ["pickup_zone_id"]))
+    out = files.fresh_path(spark, "test-skew-report")
+    report = skew_report.run(spark, f"{data}/trips", out, per_zone=3, cores=4)
+    assert report["hot_key"] == S.HOT_ZONE and abs(report["hot_share"] - 0.303) < 0.02
+    assert abs(report["predicted_ceiling"] - 4 * report["hot_share"]) < 0.01
+    assert json.loads(spark.read.text(out).first()[0]) == report
+
+
 def test_empty_trips(spark, tables):
     joined = plan.prepared(tables[0].limit(0), tables[1])
     assert plan.borough_hour(joined).count() == plan.top_zones(joined).count() == 0
