@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,9 +13,8 @@ from tallyloom.sources.files import cut_lineage
 
 # Groups up to this many rows are sorted whole to find their median.
 SMALL_GROUP = 100_000
-# Accuracy of the bracket around the median of larger groups: a sketch with this accuracy is
-# off by at most rows / SKETCH_ACCURACY ranks.
-SKETCH_ACCURACY = 100_000
+# Bins that the values of a larger group are counted in, per round.
+BINS = 4096
 
 
 def successful(runs: DataFrame, outcome: str, ok: str = "ok") -> DataFrame:
@@ -22,6 +22,39 @@ def successful(runs: DataFrame, outcome: str, ok: str = "ok") -> DataFrame:
     return runs.filter(F.col(outcome) == ok)
 
 
+def _beside(rows: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each row with the bracket of its group."""
+    side = (F.broadcast(brackets) if fits_broadcast(brackets, check_sources=False)
+            else brackets.hint("merge"))
+    return rows.join(side, [rows[c].eqNullSafe(brackets[f"_by_{c}"]) for c in by], "inner")
+
+
+def _narrowed(rows: DataFrame, brackets: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Brackets cut down to the bins that hold the middle ranks of their group.
+
+    A group has at most ``BINS`` bins, counted before and after a shuffle that spreads them.
+    The bin of a value never decreases with the value, so the counts give exact ranks.
+    """
+    v, low, high = F.col(value), F.col("_low"), F.col("_high")
+    place = (v * 0.5 - low * 0.5) / (high * 0.5 - low * 0.5)  # halves cannot overflow
+    bins = _beside(rows, brackets, by).filter(v.between(low, high)).groupBy(
+        *brackets.columns, F.least(F.floor(place * BINS), F.lit(BINS - 1)).alias("_bin"),
+    ).agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    keys = [f"_by_{c}" for c in by]
+    upto = F.col("_below") + F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bin"))
+    # the middle ranks with and without one more row anywhere
+    middle = F.floor(F.col("_rows") / 2)
+    held = bins.withColumn("_upto", upto).filter(
+        (F.col("_upto") >= middle) & (F.col("_upto") - F.col("_n") < middle + 2))
+    fixed = [c for c in brackets.columns
+             if c not in ("_below", "_inside", "_low", "_high", "_open")]
+    return held.groupBy(*fixed).agg(
+        F.min(F.col("_upto") - F.col("_n")).alias("_below"),
+        F.sum("_n").alias("_inside"), F.min("_lo").alias("_low"), F.max("_hi").alias("_high"),
+        # a bracket that no longer moves holds few distinct values
+        ((F.min("_lo") > F.min("_low")) | (F.max("_hi") < F.max("_high"))).alias("_open"))
+
+
 def summarise(runs: DataFrame, by: Sequence[str], repetition: Sequence[str], value: str, *,
               warmups: bool = True) -> DataFrame:
     """Runs, exact median, minimum and maximum per configuration, and runs per unit of value.
@@ -30,38 +63,32 @@ def summarise(runs: DataFrame, by: Sequence[str], repetition: Sequence[str], val
     of ``repetition`` (which must be unique within it), is a warm-up and left out. Null and
     NaN values are not measurements.
 
-    No task ever sorts a whole large group. A first pass keeps, per configuration, the first
-    repetition and a bracket that must contain the median. The second pass counts what lies
-    below and above the bracket while it scans; only values inside are ranked. The first
-    pass's table has one row per configuration and is stored, so both passes use the same
-    bracket even when tasks run again.
+    No task ever sorts a whole large group. A first pass finds, per configuration, the first
+    repetition and the range of the values. While the range of a large group holds too many
+    rows, a pass counts them in bins and keeps the bins around the median. The last pass
+    counts what lies below and above the range; only values inside are ranked. The ranges
+    have one row per configuration and are stored, so a task that runs again sees the same
+    ones.
     """
-    order = F.struct(*repetition)
-    # min() of an all-null group is null, which keeps every run below
-    valid = runs.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    margin = 4.0 / SKETCH_ACCURACY
-    edges = F.percentile_approx(value, [0.5 - margin, 0.5 + margin], SKETCH_ACCURACY)
-    brackets = cut_lineage(valid.groupBy(*by).agg(
-        F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"),
-        F.min(value).alias("_min"), F.max(value).alias("_max"), edges.alias("_edges"),
-    ).select(
-        *[F.col(c).alias(f"_by_{c}") for c in by],
+    valid = runs.withColumn(value, F.col(value).cast("double")).filter(
+        F.col(value).isNotNull() & ~F.isnan(value))
+    ranges = valid.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
+        F.min(F.struct(*repetition)).alias("_first"), F.count(F.lit(1)).alias("_rows"),
+        F.min(value).alias("_low"), F.max(value).alias("_high"))
+    brackets = cut_lineage(ranges.select(
+        *[f"_by_{c}" for c in by],
         *[F.col(f"_first.{c}").alias(f"_first_{c}") for c in repetition],
-        F.when(F.col("_rows") <= SMALL_GROUP, F.col("_min"))
-        .otherwise(F.col("_edges")[0]).alias("_low"),
-        F.when(F.col("_rows") <= SMALL_GROUP, F.col("_max"))
-        .otherwise(F.col("_edges")[1]).alias("_high"),
-    ))
-    side = (F.broadcast(brackets) if fits_broadcast(brackets, check_sources=False)
-            else brackets.hint("merge"))
-    same = [runs[c].eqNullSafe(brackets[f"_by_{c}"]) for c in by]
-    kept = valid.join(side, same, "inner")
+        "_rows", F.lit(0).cast("bigint").alias("_below"), F.col("_rows").alias("_inside"),
+        "_low", "_high", F.lit(True).alias("_open")))
+    wide = (F.col("_open") & (F.col("_inside") > SMALL_GROUP)
+            & (F.col("_low") < F.col("_high")))
+    while not brackets.filter(wide).isEmpty():
+        brackets = cut_lineage(brackets.filter(~wide).unionByName(
+            _narrowed(valid, brackets.filter(wide), by, value)))
+    kept = _beside(valid, brackets, by)
     if warmups:
-        first = [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in repetition]
-        is_first = first[0]
-        for c in first[1:]:
-            is_first = is_first & c
-        kept = kept.filter(~is_first)
+        same = [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in repetition]
+        kept = kept.filter(~reduce(lambda a, b: a & b, same))
 
     v = F.col(value)
     zone = F.when(v < F.col("_low"), -1).when(v > F.col("_high"), 1).otherwise(0)
@@ -82,7 +109,7 @@ def summarise(runs: DataFrame, by: Sequence[str], repetition: Sequence[str], val
     summary = ranked.groupBy(*by).agg(
         F.sum("_n").alias("runs"), (at(lower) * 0.5 + at(upper) * 0.5).alias("median"),
         F.min("_lo").alias("min"), F.max("_hi").alias("max"))
-    checked = F.coalesce(F.col("median"), F.raise_error(F.lit("median outside its bracket")))
+    checked = F.coalesce(F.col("median"), F.raise_error(F.lit("median outside its range")))
     return (summary.withColumn("median", checked.cast("double"))
             .withColumn("per_unit", F.try_divide(F.col("runs"), F.col("median"))))
 

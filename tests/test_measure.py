@@ -5,6 +5,7 @@ import statistics
 import pytest
 
 from tallyloom.operators import measure
+from tests.support.plans import plan
 
 SCHEMA = "config string, level bigint, rep bigint, outcome string, value double"
 
@@ -50,23 +51,55 @@ def test_summary_equals_brute_force(spark, warmups):
     assert close(as_dict(out), brute(rows, warmups))
 
 
-@pytest.mark.parametrize("n", [8000, 8001, 20_001])
-def test_median_of_large_groups_is_exact(spark, monkeypatch, n):
-    """Groups above the limit go through the bracket."""
-    monkeypatch.setattr(measure, "SMALL_GROUP", 1000)
-    monkeypatch.setattr(measure, "SKETCH_ACCURACY", 1000)
-    rows = make_runs(n, {("hot", 1): n, ("cold", 1): 7})
+@pytest.mark.parametrize("n,bins", [(8000, 64), (8001, 16), (20_001, 4096)])
+def test_median_of_large_groups_is_exact(spark, monkeypatch, n, bins):
+    """Groups above the limit are narrowed in rounds first."""
+    monkeypatch.setattr(measure, "SMALL_GROUP", 50)
+    monkeypatch.setattr(measure, "BINS", bins)
+    rows = make_runs(n, {("hot", 1): n, ("cold", 1): 7, (None, 2): 300})
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     out = measure.summarise(df, ["config", "level"], ["rep"], "value")
     assert close(as_dict(out), brute(rows))
 
 
-def test_median_of_a_group_of_copies(spark, monkeypatch):
+@pytest.mark.parametrize("values", [
+    [5.0] * 3000 + [9.0],                                  # copies
+    [1.0] * 1500 + [2.0] * 1500,                           # the middle between two values
+    [1.0] * 1500 + [2.0] * 1501,
+    [i * 1e-9 for i in range(1500)] + [1e300] * 1501,      # far outliers
+    [-1.7e308] + [float(i) for i in range(2000)] + [1.7e308],
+])
+def test_median_of_awkward_groups(spark, monkeypatch, values):
     monkeypatch.setattr(measure, "SMALL_GROUP", 100)
-    rows = [("a", 1, i, "ok", 5.0) for i in range(3000)] + [("a", 1, 3000, "ok", 9.0)]
+    rows = [("a", 1, i, "ok", v) for i, v in enumerate(values)]
     out = measure.summarise(spark.createDataFrame(rows, SCHEMA), ["config", "level"], ["rep"],
                             "value")
-    assert as_dict(out) == {("a", 1): (3000, 5.0, 5.0, 9.0)}
+    assert close(as_dict(out), brute(rows))
+
+
+def test_no_window_sees_more_than_the_bins(spark, monkeypatch):
+    monkeypatch.setattr(measure, "SMALL_GROUP", 100)
+    monkeypatch.setattr(measure, "BINS", 256)
+    seen = []
+    real = measure.cut_lineage
+
+    def spy(df):
+        stored = real(df)
+        seen.append(max(r["_inside"] for r in stored.collect()))
+        return stored
+
+    monkeypatch.setattr(measure, "cut_lineage", spy)
+    rows = [("a", 1, i, "ok", float((i * 7919) % 10007)) for i in range(10_007)]
+    out = measure.summarise(spark.createDataFrame(rows, SCHEMA), ["config", "level"], ["rep"],
+                            "value")
+    assert close(as_dict(out), brute(rows))
+    assert seen[0] == 10_007 and seen[-1] <= 100
+
+
+def test_ranges_are_broadcast_to_the_runs(spark):
+    df = spark.createDataFrame(make_runs(3, GROUPS), SCHEMA)
+    out = measure.summarise(df, ["config", "level"], ["rep"], "value")
+    assert "BroadcastHashJoin" in plan(out) and "SortMergeJoin" not in plan(out)
 
 
 def test_failed_null_and_nan_runs_are_left_out(spark):
