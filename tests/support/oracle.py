@@ -7,7 +7,7 @@ import math
 import duckdb
 
 SQL_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint", "DOUBLE": "double",
-             "VARCHAR": "string"}
+             "VARCHAR": "string", "BOOLEAN": "boolean"}
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
