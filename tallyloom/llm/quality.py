@@ -23,7 +23,7 @@ from tallyloom.llm.shared import col
 WORD_BUCKETS, LEVELS = 1 << 15, 16
 FACTORS = 8
 # Largest number of labelled rows that a model is fitted on.
-SAMPLE = 12_288
+SAMPLE = 8_192
 # Words whose buckets a worker remembers before it starts over.
 REMEMBERED = 500_000
 
@@ -106,7 +106,7 @@ def _flat(rows):
 
 
 def fit_rows(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *,
-             epochs: int = 12, batch: int = 256, rate: float = 0.05, l2: float = 1e-5,
+             epochs: int = 5, batch: int = 256, rate: float = 0.05, l2: float = 1e-5,
              seed: int = 7) -> Model:
     """Log loss minimised by AdaGrad over mini-batches; the same rows give the same model."""
     rng = np.random.default_rng(seed)

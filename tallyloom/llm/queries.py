@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, fingerprints, packing, quality, url_filter
+from tallyloom.llm import (bpe, exact_dedup, fingerprints, line_dedup, ngram_join, packing, pii,
+                           quality, suffix_dedup, url_filter)
 from tallyloom.llm.shared import table
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/")]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -32,11 +38,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"), largest=True)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = fingerprints.with_next(table(spark, sf_dir, "documents"))
     return fingerprints.compared(ordered)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n_chars").alias("n_kept_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -53,10 +73,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_url_filter": op3_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_fingerprints": op6_fingerprints,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }

@@ -57,11 +57,13 @@ def grams(host: Column, path: Column) -> Column:
     in a host are different features."""
     def of(text: Column, mark: str) -> Column:
         padded = F.concat(F.lit("^"), text, F.lit("$"))
-        parts = [F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))),
-            lambda i, n=n: F.concat(F.lit(mark), F.substring(padded, i, F.lit(n))))
-            for n in SIZES]
-        return F.concat(*parts)
+
+        def cut(n: int):
+            return lambda i: F.concat(F.lit(mark), F.substring(padded, i, F.lit(n)))
+
+        return F.concat(*[F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))), cut(n))
+            for n in SIZES])
     return F.concat(of(host, "h"), of(path, "p"))
 
 
