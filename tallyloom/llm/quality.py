@@ -106,9 +106,10 @@ def _flat(rows):
 
 
 def fit_rows(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *,
-             epochs: int = 5, batch: int = 256, rate: float = 0.05, l2: float = 1e-5,
+             steps: int = 240, batch: int = 256, rate: float = 0.05, l2: float = 1e-5,
              seed: int = 7) -> Model:
-    """Log loss minimised by AdaGrad over mini-batches; the same rows give the same model."""
+    """Log loss minimised by AdaGrad over about ``steps`` mini-batches; the same rows
+    give the same model."""
     rng = np.random.default_rng(seed)
     size = Featurizer.SIZE
     share = float(np.clip(labels.mean(), 0.01, 0.99)) if len(labels) else 0.5
@@ -118,7 +119,8 @@ def fit_rows(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray,
         model.factors[:] = 0
         return model
     sum_w, sum_v, sum_b = np.full(size, 1e-3), np.full((size, FACTORS), 1e-3), 1e-3
-    for _ in range(epochs):
+    per_epoch = -(-len(labels) // batch)
+    for _ in range(-(-steps // per_epoch)):
         order = rng.permutation(len(labels))
         for at in range(0, len(order), batch):
             some = order[at:at + batch]
