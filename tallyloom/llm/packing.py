@@ -10,13 +10,16 @@ power of two of tokens, so neither kind has padding; what is cut off waits for t
 
 from __future__ import annotations
 
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import Shipped, col, slices
+from tallyloom.llm.shared import Memory, Shipped, col, slices
 
 TOKENS, SEGMENTS = 4096, 512
 # Examples that are packed together; a block is a bounded piece of one task's rows.
@@ -78,30 +81,58 @@ def pack(lengths: np.ndarray, prompts: np.ndarray, tokens: int = TOKENS,
 
 
 class WordTokens:
-    """Ids of texts by a tokenizer that never looks beyond ASCII white space.
+    """Ids of texts by a tokenizer that folds case and never looks beyond white space.
 
-    Each distinct word is tokenized once and remembered, up to a bound.
+    Each distinct word is tokenized once and remembered, up to a bound. A full stop or comma
+    between a word and white space is a word of its own for this tokenizer.
     """
 
-    REMEMBERED = 400_000
+    REMEMBERED = 1_000_000
+    FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+    STOP = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,]\s)")
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(data.decode())
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known = Memory(self.REMEMBERED)
+
+    def _words(self, text: str) -> list[bytes]:
+        raw = text.encode()
+        if b"<|" not in raw:  # else it may spell a special token, which is not folded
+            raw = self.STOP.sub(b" ", raw.translate(self.FOLD))
+        return raw.split()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for w in words:
+            (plain if w.isalpha() or w.decode().isalpha() else other).append(w)
+        for at in range(0, len(plain), 500):  # a word of letters is one unit, ended by an id
+            some = plain[at:at + 500]
+            ids = np.array(self._ids([b" ".join(some).decode()])[0], "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):  # normal form made marks of letters
+                other.extend(some)
+                continue
+            raw, starts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.known.young.update(
+                (w, raw[a:b]) for w, a, b in zip(some, starts, starts[1:]))
+        for at in range(0, len(other), 20_000):
+            some = other[at:at + 20_000]
+            for w, ids in zip(some, self._ids([w.decode() for w in some])):
+                self.known.young[w] = np.array(ids, "<u4").tobytes()
 
     def packed(self, texts: list[str], end: bytes) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        if len(self.known) > self.REMEMBERED:
-            self.known = {}
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch(
-                    [w.decode() for w in some], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        """Little-endian ids of each text, then ``end``."""
+        split = [self._words(t) for t in texts]
+        self._learn(self.known.missing(set(chain.from_iterable(split))))
+        known = self.known.young
         return [b"".join(map(known.__getitem__, words)) + end for words in split]
 
 

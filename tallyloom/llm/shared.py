@@ -53,6 +53,28 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             yield batch.slice(start)
 
 
+class Memory:
+    """What is known about keys, in two generations, so that keys in use outlast a bounded size."""
+
+    def __init__(self, most: int):
+        self.half = most // 2
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys) -> list:
+        """The keys to be worked out; all others can now be looked up in ``young``."""
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        young, old, out = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                if k in old:
+                    young[k] = old[k]
+                else:
+                    out.append(k)
+        return out
+
+
 class Shipped:
     """A file's bytes (a vocabulary, of bounded size) and what a worker makes of them, once."""
 

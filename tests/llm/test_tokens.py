@@ -101,7 +101,9 @@ def test_packing_awkward_texts(spark):
     from pyspark.sql import functions as F
 
     t = Tokenizer.from_file(WORDS)
-    texts = AWKWARD + ["a<|endoftext|>b \u03a3\u03a3 \u0130", "\u0301a \u00a0b", "x"] + ["."] * 1_500
+    texts = AWKWARD + ["a<|endoftext|>b \u03a3\u03a3 \u0130", "\u0301a \u00a0b", "x",
+                       "End. end, a.) ). 5. 5.5. <|ENDOFTEXT|> \u0130stanbul \u00c9t\u00c9. A.\x1c b",
+                       "a\u0345b, don't. o'er, ...", "\u01c5 \u1fb3 \u1e9e. \ufb01n"] + ["."] * 1_500
     df = packing.pack_documents(documents(spark, texts, **CLASHING).drop("prompt"), WORDS)
     rows = df.withColumn("ids_crc32", F.crc32("ids")).collect()
     pieces_hold(rows, {i: t.encode(x or "", add_special_tokens=False).ids + [2]
