@@ -10,6 +10,7 @@ over a shrinking row, whatever its length.
 from __future__ import annotations
 
 import base64
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +18,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import Shipped, col, slices
+from tallyloom.llm.shared import Memory, Shipped, col, slices
 
 NO_RANK = np.int32(2**31 - 1)
-# Pieces whose ids a worker remembers before it starts over.
-REMEMBERED = 400_000
+# Most pieces whose ids a worker remembers.
+REMEMBERED = 500_000
+# Bytes of text, or of ids, that are split at a time.
+SLICE = 2 << 20
 # Cells of one matrix.
 CELLS = 1 << 20
 
@@ -84,7 +87,7 @@ class Codec:
         self.pairs = PairTable({
             (ranks[t[:k]], ranks[t[k:]]): i for t, i in ranks.items()
             for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks})
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(REMEMBERED)
 
     def merged(self, pieces: list[bytes]) -> list[np.ndarray]:
         """The ids of every piece, as repeated merging gives them."""
@@ -152,11 +155,8 @@ class Codec:
     def encode(self, documents: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         split = [self.pattern.findall(d) for d in documents]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        new = {p for pieces in split for p in pieces if p not in known}
-        open_ = []
+        new = self.known.missing(set(chain.from_iterable(split)))
+        known, open_ = self.known.young, []
         for p in new:
             whole = self.ranks.get(raw := p.encode())
             if whole is None:
@@ -202,7 +202,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
     codec = Shipped(docs.sparkSession, ranks_path, _Make(pattern))
 
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, most=SLICE):
             packed = codec.get().encode(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(p) // 4 for p in packed], pa.int64()),
@@ -223,7 +223,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     schema = encoded.select(*map(col, rest)).schema.add("decoded", "binary")
 
     def run(batches):
-        for part in slices(batches, ids):
+        for part in slices(batches, ids, SLICE):
             c = codec.get()
             done = [None if p is None else c.decode(p) for p in part.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays(

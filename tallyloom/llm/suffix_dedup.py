@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import col, slices, stored
+from tallyloom.llm.shared import SLICE_BYTES, col, slices, stored
 
 LENGTH, SEED = 100, 20
 REACH = LENGTH - SEED + 1  # seeds in a string of LENGTH bytes
@@ -113,80 +114,75 @@ def _first_pass(docs: DataFrame) -> DataFrame:
             for doc, th, text in zip(*(part.column(c).to_pylist() for c in ("doc", "th", "text"))):
                 first, count, off, seed, span = stretches(np.frombuffer(text.encode(), np.uint8))
                 if len(first):
-                    where = np.empty((len(first), 2), np.int64)
-                    where[:] = doc, th
-                    kept.append((seed.view(np.int64), span.view(np.int64), where[:, 0], where[:, 1],
-                                 first, count << 8 | off))
+                    kept.append((seed.view(np.int64),
+                                 (span.view(np.int64) & ~0xFFFF) | count << 8 | off,
+                                 np.full(len(first), doc), th << 32 | first))
         if not kept:
             return
-        seed, span, doc, th, start, shape = (np.concatenate(c) for c in zip(*kept))
+        seed, span, doc, place = (np.concatenate(c) for c in zip(*kept))
         kept.clear()
-        order = np.lexsort((start, th, doc, span, seed))
-        seed, span, doc, th, start, shape = (
-            c[order] for c in (seed, span, doc, th, start, shape))
+        order = np.lexsort((place, doc, span, seed))
+        seed, span, doc, place = (c[order] for c in (seed, span, doc, place))
         new = np.concatenate([[True], (seed[1:] != seed[:-1]) | (span[1:] != span[:-1])])
         lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        same = (doc == doc[lead]) & (th == th[lead]) & (start == start[lead])
+        same = (doc == doc[lead]) & (place == place[lead])
         use = np.flatnonzero(new | ~same)
         for some in np.array_split(use, max(1, len(use) // 50_000)):
             covered = ~new[some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(covered, doc[some] * 31 + start[some], seed[some])),
-                 pa.array(span[some]), pa.array(doc[some]), pa.array(th[some]),
-                 pa.array(start[some].astype(np.int32)), pa.array(shape[some].astype(np.int16)),
-                 pa.array(covered)], names=["key", "span", "doc", "th", "start", "shape", "covered"])
+                [pa.array(np.where(covered, doc[some] * 31 + place[some], seed[some])),
+                 pa.array(span[some]), pa.array(doc[some]), pa.array(place[some]),
+                 pa.array(covered)], names=["key", "span", "doc", "place", "covered"])
 
     return docs.mapInArrow(
-        run, "key long, span long, doc long, th long, start int, shape short, covered boolean")
+        run, "key long, span long, doc long, place long, covered boolean")
 
 
 def _second_pass(spans: DataFrame) -> DataFrame:
     """Merges equal spans of all tasks. Rows come sorted by key, span and place; only one row is
     held at a time. Later copies come out as covered; different spans of one seed as open."""
-    names = ["key", "span", "doc", "th", "start", "shape"]
+    names = ["key", "span", "doc", "place"]
 
     def run(batches):
-        last = None  # key, span, doc, th, start of the first row of the current span
+        last = None  # the first row of the current span
         held = None  # the first span of the current seed, until it is known to be one of several
         for b in batches:
             covered = b.column("covered").to_numpy(zero_copy_only=False)
             cols = [b.column(c).to_numpy() for c in names]
-            done = [c[covered] for c in cols]
-            key, span, doc, th, start, shape = (c[~covered] for c in cols)
-            out = [done]
-            need = [np.zeros(len(done[0]), bool)]
+            out = [[c[covered] for c in cols]]
+            need = [np.zeros(len(out[0][0]), bool)]
+            own = [c[~covered] for c in cols]
+            key, span, doc, place = own
             if len(key):
-                lead = last or (~key[0], 0, 0, 0, 0)
-                before_key = np.concatenate([[lead[0]], key[:-1]])
-                new_key = key != before_key
+                lead = last or (~key[0], 0, 0, 0)
+                new_key = key != np.concatenate([[lead[0]], key[:-1]])
                 new = new_key | (span != np.concatenate([[lead[1]], span[:-1]]))
                 at = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
-                place = [np.where(at >= 0, c[at], old) for c, old in zip((doc, th, start), lead[2:])]
-                copy = ~new & ~((doc == place[0]) & (th == place[1]) & (start == place[2]))
-                lead_at = np.flatnonzero(new)
-                if len(lead_at):
-                    if held is not None and not new_key[lead_at[0]]:
-                        out.append([np.array([v], c.dtype) for v, c in zip(held, cols)])
+                copy = ~new & ((doc != np.where(at >= 0, doc[at], lead[2]))
+                               | (place != np.where(at >= 0, place[at], lead[3])))
+                firsts = np.flatnonzero(new)
+                if len(firsts):
+                    if held is not None and not new_key[firsts[0]]:
+                        out.append([np.array([v], np.int64) for v in held])
                         need.append(np.ones(1, bool))
-                    later = ~new_key[lead_at]
+                    later = ~new_key[firsts]
                     several = later.copy()
                     several[:-1] |= later[1:]
-                    want = lead_at[several]
-                    out.append([c[want] for c in (key, span, doc, th, start, shape)])
-                    need.append(np.ones(len(want), bool))
-                    k = lead_at[-1]
-                    held = None if later[-1] else tuple(
-                        c[k] for c in (key, span, doc, th, start, shape))
-                    last = tuple(c[k] for c in (key, span, doc, th, start))
-                out.append([c[copy] for c in (key, span, doc, th, start, shape)])
+                    out.append([c[firsts[several]] for c in own])
+                    need.append(np.ones(int(several.sum()), bool))
+                    last = tuple(int(c[firsts[-1]]) for c in own)
+                    held = None if several[-1] else last
+                out.append([c[copy] for c in own])
                 need.append(np.zeros(int(copy.sum()), bool))
-            merged = [np.concatenate(c) for c in zip(*out)]
+            key, span, doc, place = (np.concatenate(c) for c in zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c) for c in merged], pa.array(np.concatenate(need))],
-                names=[*names, "need"])
+                [pa.array(key), pa.array(doc), pa.array(place >> 32),
+                 pa.array((place & 0xFFFFFFFF).astype(np.int32)),
+                 pa.array((span & 0xFFFF).astype(np.int16)), pa.array(np.concatenate(need))],
+                names=["key", "doc", "th", "start", "shape", "need"])
 
     return spans.mapInArrow(
-        run, "key long, span long, doc long, th long, start int, shape short, need boolean")
+        run, "key long, doc long, th long, start int, shape short, need boolean")
 
 
 def _finished(text: bytes, start: np.ndarray, length: np.ndarray) -> tuple:
@@ -203,14 +199,28 @@ def _finished(text: bytes, start: np.ndarray, length: np.ndarray) -> tuple:
 _RESULT = "doc long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The texts as compressed bytes, for the way through a shuffle."""
+    def run(batches):
+        press = zstandard.ZstdCompressor(3)
+        for part in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc"), part.column("th"),
+                 pa.array([press.compress(t.encode()) for t in part.column("text").to_pylist()],
+                          pa.binary())], names=["doc", "th", "text"])
+
+    return docs.mapInArrow(run, "doc long, th long, text binary")
+
+
 def _settle(docs: DataFrame) -> DataFrame:
     """Finishes the texts without open stretches; passes the others on with what they need."""
     def run(batches):
-        for part in slices(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for part in slices(batches, most=SLICE_BYTES // 4):
             rows = []
             for doc, th, text, info in zip(*(part.column(c).to_pylist()
                                              for c in ("doc", "th", "text", "info"))):
-                raw = text.encode()
+                raw = unpack.decompress(text)
                 a = np.frombuffer(b"".join(info or ()), _INFO)
                 sure, open_ = a[a["need"] == 0], a[a["need"] == 1]
                 if len(open_):
@@ -253,56 +263,73 @@ def _open_bytes(settled: DataFrame) -> DataFrame:
         run, "key long, doc long, th long, start int, shape short, bytes binary")
 
 
-def _factors(group: list[tuple]) -> list[tuple]:
+# Spans whose starts are sorted together.
+TOGETHER = 2_000
+
+
+def _factors(spans: list[tuple]) -> list[tuple]:
     """Stretches (doc, th, start, length) whose starts have a longest previous factor of LENGTH.
 
-    Equal strings lie at the same distance before the anchor, so starts are ordered distance by
-    distance; memory is that of one string per span.
+    ``spans`` are whole groups of one seed each, by place within a group. A larger group comes
+    alone; its starts are taken distance by distance from the anchor, since equal strings lie at
+    the same distance; memory is then that of one string per span.
     """
-    offs = np.array([g[4] & 255 for g in group])
-    counts = np.array([g[4] >> 8 for g in group])
-    marks = [np.zeros(n, bool) for n in counts]
-    for d in range(int(offs.max()) + 1):
-        having = np.flatnonzero((offs >= d) & (offs - d < counts))
-        if len(having) > 1:
-            at = offs[having] - d
-            strings = np.array([group[i][5][x:x + LENGTH] for i, x in zip(having, at)],
-                               f"S{LENGTH}")
-            for i, x, again in zip(having, at, repeated(strings)):
-                marks[i][x] = again
-    out = []
-    for g, mark in zip(group, marks):
-        if mark.any():
-            edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
-            for x, y in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-                out.append((g[1], g[2], g[3] + int(x), int(y - x) + LENGTH - 1))
-    return out
+    number = np.cumsum([0] + [a[0] != b[0] for a, b in zip(spans, spans[1:])])
+    shapes = np.array([s[4] for s in spans])
+    offs, counts = shapes & 255, shapes >> 8
+    data = np.frombuffer(b"".join(s[5] for s in spans), np.uint8)
+    begin = np.concatenate([[0], np.cumsum([len(s[5]) for s in spans])[:-1]])
+    windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+    first = np.concatenate([[0], np.cumsum(counts)])
+    marks = np.zeros(int(first[-1]), bool)
+
+    def look(span, x):
+        strings = np.empty((len(span), LENGTH + 4), np.uint8)
+        strings[:, :4] = number[span].astype(">u4").view(np.uint8).reshape(-1, 4)
+        strings[:, 4:] = windows[begin[span] + x]
+        marks[first[span] + x] = repeated(strings.view(f"S{LENGTH + 4}").ravel())
+
+    if len(spans) <= 2 * TOGETHER:
+        span = np.repeat(np.arange(len(spans)), counts)
+        look(span, np.arange(len(span)) - first[span])
+    else:
+        for d in range(int(offs.max()) + 1):
+            having = np.flatnonzero((offs >= d) & (offs - d < counts))
+            if len(having):
+                look(having, offs[having] - d)
+    edge = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
+    inner = first[1:-1]  # a run ends with its span
+    both = inner[marks[inner - 1] & marks[inner]]
+    lows = np.sort(np.concatenate([np.flatnonzero(edge == 1), both]))
+    highs = np.sort(np.concatenate([np.flatnonzero(edge == -1), both]))
+    at = np.searchsorted(first, lows, side="right") - 1
+    return [(spans[i][1], spans[i][2], spans[i][3] + x, n + LENGTH - 1) for i, x, n in
+            zip(at.tolist(), (lows - first[at]).tolist(), (highs - lows).tolist())]
 
 
 def _third_pass(spans: DataFrame) -> DataFrame:
+    def made(spans):
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(list(zip(*_factors(spans))) or [[]] * 4, types)],
+            names=["doc", "th", "start", "length"])
+
     def run(batches):
+        ready: list[tuple] = []  # whole groups
         group: list[tuple] = []
-        out: list[tuple] = []
-
-        def batch():
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 4, types)],
-                names=["doc", "th", "start", "length"])
-            out.clear()
-            return made
-
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns)):
                 if group and row[0] != group[0][0]:
-                    out.extend(_factors(group))
+                    if ready and len(ready) + len(group) > TOGETHER:
+                        yield made(ready)
+                        ready = []
+                    ready += group
                     group = []
                 if not group or row[1:4] != group[-1][1:4]:
                     group.append(row)
-            yield batch()
-        if group:
-            out.extend(_factors(group))
-        yield batch()
+        for spans in ([ready, group] if len(ready) + len(group) > TOGETHER else [ready + group]):
+            if spans:
+                yield made(spans)
 
     return spans.mapInArrow(run, "doc long, th long, start int, length int")
 
@@ -339,13 +366,13 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     body = F.coalesce(col(text).cast("string"), F.lit(""))
     plain = docs.select(F.coalesce(col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
-                        F.xxhash64(body).alias("th"), body.alias("text"))
+                        F.shiftrightunsigned(F.xxhash64(body), 40).alias("th"), body.alias("text"))
     merged = _second_pass(_first_pass(plain).repartition(parts, "key").sortWithinPartitions(
-        "key", "span", "doc", "th", "start"))
+        "key", "span", "doc", "place"))
     coded = F.concat(*[F.unhex(F.lpad(F.right(F.hex(c), F.lit(w)), w, "0")) for c, w in (
         ("start", 8), ("shape", 4), ("key", 16), (F.col("need").cast("int"), 2))])
     info = merged.groupBy("doc", "th").agg(F.collect_list(coded).alias("info"))
-    joined = plain.join(info, ["doc", "th"], "left").select("doc", "th", "text", "info")
+    joined = _packed(plain).join(info, ["doc", "th"], "left").select("doc", "th", "text", "info")
     settled = stored(_settle(joined), "settled")
     open_ = settled.filter(F.col("raw").isNotNull())
     more = _third_pass(_open_bytes(open_.select("doc", "th", "raw", "open"))
