@@ -8,109 +8,63 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.sizing import fits_broadcast
 from tallyloom.sources.files import cut_lineage
 
-# Groups up to this many rows are sorted whole to find their median.
-SMALL_GROUP = 100_000
-# Bins that the values of a larger group are counted in, per round.
-BINS = 4096
-
-
 def successful(runs: DataFrame, outcome: str, ok: str = "ok") -> DataFrame:
     """Runs that ended well."""
     return runs.filter(F.col(outcome) == ok)
 
 
-def _beside(rows: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Each row with the bracket of its group."""
-    side = (F.broadcast(brackets) if fits_broadcast(brackets, check_sources=False)
-            else brackets.hint("merge"))
-    return rows.join(side, [rows[c].eqNullSafe(brackets[f"_by_{c}"]) for c in by], "inner")
-
-
-def _narrowed(rows: DataFrame, brackets: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Brackets cut down to the bins that hold the middle ranks of their group.
-
-    A group has at most ``BINS`` bins, counted before and after a shuffle that spreads them.
-    The bin of a value never decreases with the value, so the counts give exact ranks.
-    """
-    v, low, high = F.col(value), F.col("_low"), F.col("_high")
-    place = (v * 0.5 - low * 0.5) / (high * 0.5 - low * 0.5)  # halves cannot overflow
-    bins = _beside(rows, brackets, by).filter(v.between(low, high)).groupBy(
-        *brackets.columns, F.least(F.floor(place * BINS), F.lit(BINS - 1)).alias("_bin"),
-    ).agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    keys = [f"_by_{c}" for c in by]
-    upto = F.col("_below") + F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bin"))
-    # the middle ranks with and without one more row anywhere
-    middle = F.floor(F.col("_rows") / 2)
-    held = bins.withColumn("_upto", upto).filter(
-        (F.col("_upto") >= middle) & (F.col("_upto") - F.col("_n") < middle + 2))
-    fixed = [c for c in brackets.columns
-             if c not in ("_below", "_inside", "_low", "_high", "_open")]
-    return held.groupBy(*fixed).agg(
-        F.min(F.col("_upto") - F.col("_n")).alias("_below"),
-        F.sum("_n").alias("_inside"), F.min("_lo").alias("_low"), F.max("_hi").alias("_high"),
-        # a bracket that no longer moves holds few distinct values
-        ((F.min("_lo") > F.min("_low")) | (F.max("_hi") < F.max("_high"))).alias("_open"))
-
-
 def summarise(runs: DataFrame, by: Sequence[str], repetition: Sequence[str], value: str, *,
               warmups: bool = True) -> DataFrame:
     """Runs, exact median, minimum and maximum per configuration, and runs per unit of value.
 
     ``by`` names the configuration. The first repetition of each configuration, in the order
     of ``repetition`` (which must be unique within it), is a warm-up and left out. Null and
-    NaN values are not measurements.
-
-    No task ever sorts a whole large group. A first pass finds, per configuration, the first
-    repetition and the range of the values. While the range of a large group holds too many
-    rows, a pass counts them in bins and keeps the bins around the median. The last pass
-    counts what lies below and above the range; only values inside are ranked. The ranges
-    have one row per configuration and are stored, so a task that runs again sees the same
-    ones.
+    NaN values are not measurements; infinite ones are.
+
+    No task ever sorts a whole group. Distinct values are counted, and the counts dealt by ranges
+    of (configuration, value), so that a large group is spread over many tasks. The totals of
+    these ranges say in which of them the middle ranks lie, and only those are ranked. That takes
+    the same passes for any values and any size. The dealt counts are stored, which runs a job.
     """
     valid = runs.withColumn(value, F.col(value).cast("double")).filter(
         F.col(value).isNotNull() & ~F.isnan(value))
-    ranges = valid.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
-        F.min(F.struct(*repetition)).alias("_first"), F.count(F.lit(1)).alias("_rows"),
-        F.min(value).alias("_low"), F.max(value).alias("_high"))
-    brackets = cut_lineage(ranges.select(
-        *[f"_by_{c}" for c in by],
-        *[F.col(f"_first.{c}").alias(f"_first_{c}") for c in repetition],
-        "_rows", F.lit(0).cast("bigint").alias("_below"), F.col("_rows").alias("_inside"),
-        "_low", "_high", F.lit(True).alias("_open")))
-    wide = (F.col("_open") & (F.col("_inside") > SMALL_GROUP)
-            & (F.col("_low") < F.col("_high")))
-    while not brackets.filter(wide).isEmpty():
-        brackets = cut_lineage(brackets.filter(~wide).unionByName(
-            _narrowed(valid, brackets.filter(wide), by, value)))
-    kept = _beside(valid, brackets, by)
     if warmups:
-        same = [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in repetition]
-        kept = kept.filter(~reduce(lambda a, b: a & b, same))
-
-    v = F.col(value)
-    zone = F.when(v < F.col("_low"), -1).when(v > F.col("_high"), 1).otherwise(0)
-    cells = kept.groupBy(
-        *by, zone.alias("_zone"), F.when(zone == 0, v).alias("_value"),
-    ).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-
-    upto = Window.partitionBy(*by).orderBy("_zone", "_value")
+        first = valid.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
+            F.min(F.struct(*repetition)).alias("_first"))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first.{c}"))
+                                           for c in repetition])
+        valid = valid.join(first, [valid[c].eqNullSafe(first[f"_by_{c}"]) for c in by]).filter(~same)
+    cells = valid.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = cut_lineage(cells.repartitionByRange(*by, "_value")
+                        .withColumn("_part", F.spark_partition_id()))
     whole = Window.partitionBy(*by)
-    ranked = (cells.withColumn("_upto", F.sum("_n").over(upto))
-              .withColumn("_total", F.sum("_n").over(whole)))
-    before = F.col("_upto") - F.col("_n")
+    ranges = dealt.groupBy(*by, "_part").agg(
+        F.sum("_n").alias("_rows"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"))
+    ranges = ranges.select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_at"), "_rows",
+        (F.sum("_rows").over(whole.orderBy("_part")) - F.col("_rows")).alias("_before"),
+        F.sum("_rows").over(whole).alias("_total"),
+        F.min("_lo").over(whole).alias("_least"), F.max("_hi").over(whole).alias("_most"))
+    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
+    middle = ranges.filter((F.col("_before") < upper) & (F.col("_before") + F.col("_rows") >= lower))
+    ranked = dealt.join(middle, [dealt[c].eqNullSafe(middle[f"_by_{c}"]) for c in by]
+                        + [dealt["_part"] == middle["_at"]])
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*by, "_part").orderBy("_value"))
+    ranked = ranked.withColumn("_upto", upto)
 
     def at(rank) -> F.Column:
-        return F.max(F.when((before < rank) & (rank <= F.col("_upto")), F.col("_value")))
+        held = (F.col("_upto") - F.col("_n") < rank) & (rank <= F.col("_upto"))
+        return F.max(F.when(held, F.col("_value")))
 
-    lower, upper = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
     summary = ranked.groupBy(*by).agg(
-        F.sum("_n").alias("runs"), (at(lower) * 0.5 + at(upper) * 0.5).alias("median"),
-        F.min("_lo").alias("min"), F.max("_hi").alias("max"))
-    checked = F.coalesce(F.col("median"), F.raise_error(F.lit("median outside its range")))
-    return (summary.withColumn("median", checked.cast("double"))
+        F.max("_total").alias("runs"), at(lower).alias("_low"), at(upper).alias("_high"),
+        F.min("_least").alias("min"), F.max("_most").alias("max"))
+    # halves cannot overflow; equal ones need no halves, which would underflow
+    median = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
+        F.col("_low") * 0.5 + F.col("_high") * 0.5)
+    return (summary.select(*by, "runs", median.alias("median"), "min", "max")
             .withColumn("per_unit", F.try_divide(F.col("runs"), F.col("median"))))
 
 
@@ -155,13 +109,14 @@ def cost_ratio(rates: DataFrame, series: str, level: str, reference: str, rows:
                seconds: str, cores: str) -> DataFrame:
     """Rows per second and core, and how often the reference series beats each other one.
 
-    Compared level by level: the reference has one row per level, which is joined back.
+    Compared level by level, where the reference has at most one row; a level that it lacks stays,
+    with a null ratio.
     """
     per_core = rates.withColumn("rows_per_s_core", F.try_divide(
         F.col(rows), F.col(seconds) * F.col(cores)))
-    base = per_core.filter(F.col(series) == reference).select(
-        F.col(level).alias("_level"), F.col("rows_per_s_core").alias("_reference"))
-    return per_core.join(base, per_core[level] == base["_level"], "inner").select(
+    base = F.max(F.when(F.col(series) == reference, F.col("rows_per_s_core"))).over(
+        Window.partitionBy(level))
+    return per_core.withColumn("_reference", base).select(
         series, level, "rows_per_s_core",
         F.try_divide(F.col("_reference"), F.col("rows_per_s_core")).alias("cost_ratio"))
 

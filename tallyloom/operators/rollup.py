@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tallyloom.operators.groups import Measures, finish, merge, partial
 from tallyloom.sources.files import write_parquet
@@ -29,9 +30,12 @@ def store_slices(partials: DataFrame, path: str, part: str) -> None:
                   partition_by=[part])
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rollup; a filter on the part column prunes directories."""
-    return spark.read.parquet(path)
+def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The stored rollup; a filter on the part column prunes directories.
+
+    ``schema`` is that of the slices, so no footer is opened to infer one.
+    """
+    return spark.read.schema(schema).parquet(path)
 
 
 def compact(partials: DataFrame, by: Sequence[str], m: Measures) -> DataFrame:

@@ -29,6 +29,8 @@ QUERIES: dict[str, Query] = {
     "skew_join_plain": star.skew_join("plain"),
     "skew_join_salted": star.skew_join("salted"),
     "skew_join_selective": star.skew_join("selective"),
+    "skew_join_plain_85": star.skew_join("plain", 85),
+    "skew_join_salted_85": star.skew_join("salted", 85),
     "skew_join_selective_85": star.skew_join("selective", 85),
     "skew_join_preagg": star.skew_join("preagg"),
     "rollup_partial": star.rollup_partial,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,13 +51,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return files.read_parquet(spark, f"{sf}/{name}.parquet", schema=SCHEMAS[name])
 
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with their order's date; only the columns the pipeline reads."""
+def lines(spark: SparkSession, sf: str, how: str = "inner") -> DataFrame:
+    """Line items with their order's date; only the columns the pipeline reads.
+
+    ``how="left"`` keeps line items without an order, to be accounted for.
+    """
     items = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return items.join(orders, items["l_orderkey"] == orders["o_orderkey"], "inner")
+    return items.join(orders, items["l_orderkey"] == orders["o_orderkey"], how)
 
 
 def lag_days() -> Column:
@@ -160,12 +164,16 @@ def derive_columns(spark: SparkSession, sf: str) -> DataFrame:
                                   "total", "tax_pct", "ship_month")
 
 
+def has_order() -> quality.Rule:
+    return quality.Rule("order", F.col("o_orderkey").isNotNull().cast("int"), 1, 1, floating=False)
+
+
 def scan_accounting(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.account(lines(spark, sf), rules())
+    return quality.account(lines(spark, sf, "left"), [*rules(), has_order()])
 
 
 def reject_by_rule(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.rejects(lines(spark, sf), rules())
+    return quality.rejects(lines(spark, sf, "left"), [*rules(), has_order()])
 
 
 def source_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,8 +284,9 @@ def rollup_partial(spark: SparkSession, sf: str) -> DataFrame:
 def rollup_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Slices stored by order year, read back and merged."""
     path = files.fresh_path(spark, "rollup")
-    rollup.store_slices(region_slices(spark, sf, "order_year"), path, "order_year")
-    return shown(rollup.answer(rollup.load(spark, path), GROUP, MEASURES)).orderBy(*GROUP)
+    slices = region_slices(spark, sf, "order_year")
+    rollup.store_slices(slices, path, "order_year")
+    return shown(rollup.answer(rollup.load(spark, path, slices.schema), GROUP, MEASURES)).orderBy(*GROUP)
 
 
 def rollup_distinct_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,15 +306,15 @@ def rollup_top(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Three slices by ship date, each scanned with its own pushed filter, put together."""
+    """Four slices by ship date, each scanned with its own pushed filter, put together."""
     items = table(spark, sf, "lineitem").select(
         "l_shipdate", "l_linestatus", "l_quantity", "l_extendedprice")
     year = F.to_timestamp_ntz
     first, second = year(F.lit("1997-01-01")), year(F.lit("1999-01-01"))
     day = F.col("l_shipdate")
     parts = [items.filter(day < first), items.filter((day >= first) & (day < second)),
-             items.filter(day >= second)]
-    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+             items.filter(day >= second), items.filter(day.isNull())]
+    whole = reduce(DataFrame.unionByName, parts)
     return whole.groupBy("l_linestatus").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"),
         F.round(F.sum("l_extendedprice"), 2).alias("price"))

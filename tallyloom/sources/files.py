@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -105,15 +106,16 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a local run or a test) is a folder made here.
+    A folder of this machine is made only for a local session, where it is the same for all; on a
+    cluster without the setting this is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        folder = context.getCheckpointDir()
-    if folder is None:
+        if not re.match(r"local(\[[^,\]]*(,[^\]]*)?\])?$", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tallyloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

@@ -118,3 +118,18 @@ def test_split_size():
     assert split_bytes(10 * MIB, 8) == 16 * MIB
     assert split_bytes(100 * 1024 ** 4, 8000) == 512 * MIB
     assert 16 * MIB < split_bytes(3000 * MIB, 8) < 512 * MIB
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    def session(master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None,
+                                  setCheckpointDir=lambda folder: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                               sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://host"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            files.shared_folder(session(master))
+    assert files.shared_folder(session("local[4]"))

@@ -77,7 +77,7 @@ def test_stored_slices_can_be_added_and_replaced(spark):
     rollup.store_slices(make(old), path, "part")
     rollup.store_slices(make(new), path, "part")
     rollup.store_slices(make(new), path, "part")  # the same slice again, as after a failure
-    answer = rollup.answer(rollup.load(spark, path), ["g"], M)
+    answer = rollup.answer(rollup.load(spark, path, make(new).schema), ["g"], M)
     assert same(as_dict(answer), brute(old + new))
 
 

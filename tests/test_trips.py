@@ -83,7 +83,7 @@ def test_daily_rollup(spark, tables, expected):
     early = F.col("day") < "2024-01-12"
     for some in (daily.filter(early), daily.filter(~early)):
         rollup.store_slices(plan.zone_hour_state(some, "day"), path, "day")
-    stored = rollup.load(spark, path)
+    stored = rollup.load(spark, path, plan.zone_hour_state(daily, "day").schema)
     assert stored.select("day").distinct().count() in (30, 31)
     check(spark, plan.borough_hour_from_state(stored, tables[1]), expected[0], S.BOROUGH_HOUR,
           ["borough", "pickup_hour"])
