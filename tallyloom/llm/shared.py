@@ -35,7 +35,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The table, written to the shared folder and read again; a lost executor costs no more
     than the step that read it."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
