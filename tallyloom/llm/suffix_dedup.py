@@ -8,7 +8,8 @@ First, equal spans of a seed are matched: the later one is a copy in full, witho
 its bytes. Then, for seeds with several different spans, the spans' bytes are fetched and their
 starts are put in suffix order. The longest match of a start with any earlier one is with its
 previous or next neighbour in that order that starts earlier in the corpus; a start whose longest
-previous factor reaches LENGTH has its bytes removed.
+previous factor reaches LENGTH has its bytes removed. The starts of seeds with more than LARGE
+spans are dealt by their strings instead, so no task holds such a seed.
 
 A task first merges its own equal spans, so a passage that very many documents share is shuffled
 once per task. The answer for it comes back to that task's rows.
@@ -16,6 +17,8 @@ once per task. The answer for it comes back to that task's rows.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -265,38 +268,27 @@ def _open_bytes(settled: DataFrame) -> DataFrame:
 
 # Spans whose starts are sorted together.
 TOGETHER = 2_000
+# Spans of a seed that one task holds at most, and tasks that the starts of one string are dealt to.
+LARGE, SALTS = 4_000, 16
 
 
 def _factors(spans: list[tuple]) -> list[tuple]:
     """Stretches (doc, th, start, length) whose starts have a longest previous factor of LENGTH.
 
-    ``spans`` are whole groups of one seed each, by place within a group. A larger group comes
-    alone; its starts are taken distance by distance from the anchor, since equal strings lie at
-    the same distance; memory is then that of one string per span.
+    ``spans`` are whole groups of one seed each, by place within a group; LARGE spans at most.
     """
     number = np.cumsum([0] + [a[0] != b[0] for a, b in zip(spans, spans[1:])])
     shapes = np.array([s[4] for s in spans])
-    offs, counts = shapes & 255, shapes >> 8
+    counts = shapes >> 8
     data = np.frombuffer(b"".join(s[5] for s in spans), np.uint8)
     begin = np.concatenate([[0], np.cumsum([len(s[5]) for s in spans])[:-1]])
     windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
     first = np.concatenate([[0], np.cumsum(counts)])
-    marks = np.zeros(int(first[-1]), bool)
-
-    def look(span, x):
-        strings = np.empty((len(span), LENGTH + 4), np.uint8)
-        strings[:, :4] = number[span].astype(">u4").view(np.uint8).reshape(-1, 4)
-        strings[:, 4:] = windows[begin[span] + x]
-        marks[first[span] + x] = repeated(strings.view(f"S{LENGTH + 4}").ravel())
-
-    if len(spans) <= 2 * TOGETHER:
-        span = np.repeat(np.arange(len(spans)), counts)
-        look(span, np.arange(len(span)) - first[span])
-    else:
-        for d in range(int(offs.max()) + 1):
-            having = np.flatnonzero((offs >= d) & (offs - d < counts))
-            if len(having):
-                look(having, offs[having] - d)
+    span = np.repeat(np.arange(len(spans)), counts)
+    strings = np.empty((len(span), LENGTH + 4), np.uint8)
+    strings[:, :4] = number[span].astype(">u4").view(np.uint8).reshape(-1, 4)
+    strings[:, 4:] = windows[begin[span] + np.arange(len(span)) - first[span]]
+    marks = repeated(strings.view(f"S{LENGTH + 4}").ravel())
     edge = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
     inner = first[1:-1]  # a run ends with its span
     both = inner[marks[inner - 1] & marks[inner]]
@@ -334,6 +326,56 @@ def _third_pass(spans: DataFrame) -> DataFrame:
     return spans.mapInArrow(run, "doc long, th long, start int, length int")
 
 
+def _large_seeds(settled: DataFrame) -> DataFrame:
+    """key of the seeds with more than LARGE open spans: few, at most spans / LARGE."""
+    def run(batches):
+        for b in batches:
+            for open_ in b.column("open").to_pylist():
+                keys = np.frombuffer(open_, _INFO)["key"].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
+
+    return (settled.select("open").mapInArrow(run, "key long").groupBy("key")
+            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE).select("key"))
+
+
+def _starts(spans: DataFrame) -> DataFrame:
+    """Every start of the spans: key, digest of its string (a, b), doc, place, salt."""
+    def run(batches):
+        for b in batches:
+            for part in slices(iter([b]), "bytes", SLICE_BYTES // 64):
+                rows = []
+                for key, doc, th, start, shape, data in zip(*(c.to_pylist()
+                                                              for c in part.columns)):
+                    for x in range(shape >> 8):
+                        d = md5(data[x:x + LENGTH]).digest()
+                        rows.append((key, int.from_bytes(d[:8], "big", signed=True),
+                                     int.from_bytes(d[8:], "big", signed=True), doc,
+                                     th << 32 | start + x))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in list(zip(*rows)) or [[]] * 5],
+                    names=["key", "a", "b", "doc", "place"])
+
+    return spans.mapInArrow(run, "key long, a long, b long, doc long, place long").withColumn(
+        "salt", F.pmod(F.xxhash64("doc", "place"), F.lit(SALTS)).cast("int"))
+
+
+def _by_string(spans: DataFrame) -> DataFrame:
+    """Like the third pass, but dealt by string: a start goes if its place is not the least of its
+    string. Least places are found before the shuffle, so a string of many starts is no large
+    group; its starts are dealt to SALTS tasks."""
+    starts = _starts(spans)
+    place = F.struct("doc", "place")
+    least = (starts.groupBy("key", "a", "b").agg(F.min(place).alias("least"),
+                                                 F.max(place).alias("most"))
+             .filter("least <> most")
+             .select("key", "a", "b", "least",
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    return starts.join(least, ["key", "a", "b", "salt"]).filter(place > F.col("least")).select(
+        "doc", F.shiftright("place", 32).alias("th"),
+        F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("start"),
+        F.lit(LENGTH).alias("length")).distinct()
+
+
 def _close(docs: DataFrame) -> DataFrame:
     def run(batches):
         for part in slices(batches, "raw"):
@@ -375,9 +417,11 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     joined = _packed(plain).join(info, ["doc", "th"], "left").select("doc", "th", "text", "info")
     settled = stored(_settle(joined), "settled")
     open_ = settled.filter(F.col("raw").isNotNull())
-    more = _third_pass(_open_bytes(open_.select("doc", "th", "raw", "open"))
-                       .repartition(parts, "key")
+    spans = _open_bytes(open_.select("doc", "th", "raw", "open"))
+    large = F.broadcast(stored(_large_seeds(open_), "large"))
+    more = _third_pass(spans.join(large, "key", "left_anti").repartition(parts, "key")
                        .sortWithinPartitions("key", "doc", "th", "start"))
+    more = more.unionByName(_by_string(spans.join(large, "key", "left_semi")))
     pair = F.concat(*[F.unhex(F.lpad(F.right(F.hex(c), F.lit(8)), 8, "0"))
                       for c in ("start", "length")])
     more = more.groupBy("doc", "th").agg(F.collect_list(pair).alias("more"))

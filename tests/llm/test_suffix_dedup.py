@@ -89,3 +89,22 @@ def test_stretches_cover_every_start_once(data):
     assert first[0] == 0 and (first[1:] == (first + count)[:-1]).all()
     assert first[-1] + count[-1] == len(data) - N + 1
     assert (off < suffix_dedup.REACH).all() and (off >= 0).all()
+
+
+def test_no_task_holds_a_passage_that_many_documents_share(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    hot, end = word(300), word(60)
+    texts = [word(60) + hot + word(60) for _ in range(200)]
+    texts += [hot[:150] + end + word(5) for _ in range(40)] + texts[:20]
+    largest = []
+    third = suffix_dedup._third_pass
+
+    def watched(spans):
+        largest.append(max(r["count"] for r in spans.groupBy("key").count().collect()))
+        return third(spans)
+
+    monkeypatch.setattr(suffix_dedup, "_third_pass", watched)
+    monkeypatch.setattr(suffix_dedup, "LARGE", 50, raising=False)
+    holds(spark, texts)
+    assert 1 < largest[0] <= 50
