@@ -15,27 +15,29 @@ def successful(runs: DataFrame, outcome: str, ok: str = "ok") -> DataFrame:
     return runs.filter(F.col(outcome) == ok)
 
 
-def summarise(runs: DataFrame, by: Sequence[str], repetition: Sequence[str], value: str, *,
-              warmups: bool = True) -> DataFrame:
-    """Runs, exact median, minimum and maximum per configuration, and runs per unit of value.
+def _measured(runs: DataFrame, value: str) -> DataFrame:
+    """Rows whose value is a measurement: not null, not NaN."""
+    return runs.withColumn(value, F.col(value).cast("double")).filter(
+        F.col(value).isNotNull() & ~F.isnan(value))
 
-    ``by`` names the configuration. The first repetition of each configuration, in the order
-    of ``repetition`` (which must be unique within it), is a warm-up and left out. Null and
-    NaN values are not measurements; infinite ones are.
+
+def _without_first(runs: DataFrame, by: Sequence[str], repetition: Sequence[str]) -> DataFrame:
+    first = runs.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
+        F.min(F.struct(*repetition)).alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first.{c}"))
+                                       for c in repetition])
+    return (runs.join(first, [runs[c].eqNullSafe(first[f"_by_{c}"]) for c in by]).filter(~same)
+            .select(*runs.columns))
+
+
+def _statistics(valid: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Number, exact median, minimum and maximum of the values of each group.
 
     No task ever sorts a whole group. Distinct values are counted, and the counts dealt by ranges
-    of (configuration, value), so that a large group is spread over many tasks. The totals of
-    these ranges say in which of them the middle ranks lie, and only those are ranked. That takes
-    the same passes for any values and any size. The dealt counts are stored, which runs a job.
+    of (group, value), so that a large group is spread over many tasks. The totals of these ranges
+    say in which of them the middle ranks lie, and only those are ranked. That takes the same
+    passes for any values and any size. The dealt counts are stored, which runs a job.
     """
-    valid = runs.withColumn(value, F.col(value).cast("double")).filter(
-        F.col(value).isNotNull() & ~F.isnan(value))
-    if warmups:
-        first = valid.groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(
-            F.min(F.struct(*repetition)).alias("_first"))
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first.{c}"))
-                                           for c in repetition])
-        valid = valid.join(first, [valid[c].eqNullSafe(first[f"_by_{c}"]) for c in by]).filter(~same)
     cells = valid.groupBy(*by, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
     dealt = cut_lineage(cells.repartitionByRange(*by, "_value")
                         .withColumn("_part", F.spark_partition_id()))
@@ -64,8 +66,43 @@ def summarise(runs: DataFrame, by: Sequence[str], repetition: Sequence[str], val
     # halves cannot overflow; equal ones need no halves, which would underflow
     median = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
         F.col("_low") * 0.5 + F.col("_high") * 0.5)
-    return (summary.select(*by, "runs", median.alias("median"), "min", "max")
-            .withColumn("per_unit", F.try_divide(F.col("runs"), F.col("median"))))
+    return summary.select(*by, "runs", median.alias("median"), "min", "max")
+
+
+def summarise(runs: DataFrame, by: Sequence[str], repetition: Sequence[str], value: str, *,
+              warmups: bool = True) -> DataFrame:
+    """Runs, exact median, minimum and maximum per configuration, and runs per unit of value.
+
+    ``by`` names the configuration. The first repetition of each configuration, in the order
+    of ``repetition`` (which must be unique within it), is a warm-up and left out. Null and
+    NaN values are not measurements; infinite ones are.
+    """
+    valid = _measured(runs, value)
+    if warmups:
+        valid = _without_first(valid, by, repetition)
+    return _statistics(valid, by, value).withColumn(
+        "per_unit", F.try_divide(F.col("runs"), F.col("median")))
+
+
+def summarise_values(runs: DataFrame, by: Sequence[str], repetition: Sequence[str],
+                     values: Sequence[str], *, warmups: bool = True) -> DataFrame:
+    """Several values of the same runs side by side: ``<value>_median``, ``_min`` and ``_max``.
+
+    ``runs`` counts the runs of the configuration after the warm-up. The values are ranked in one
+    go, as (configuration, name of the value). A null or NaN is no measurement of that value; a
+    configuration without any has nulls there.
+    """
+    kept = _without_first(runs, by, repetition) if warmups else runs
+    named = [F.struct(F.lit(v).alias("_measure"), F.col(v).cast("double").alias("_measured"))
+             for v in values]
+    long = kept.select(*by, F.explode(F.array(*named)).alias("_one")).select(*by, "_one.*")
+    found = _statistics(_measured(long, "_measured"), [*by, "_measure"], "_measured")
+    counts = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("runs")).withColumn(
+        "_measure", F.lit(None).cast("string"))
+    wide = [F.max(F.when(F.col("_measure") == v, F.col(s))).alias(f"{v}_{s}")
+            for v in values for s in ("median", "min", "max")]
+    return (found.drop("runs").unionByName(counts, allowMissingColumns=True)
+            .groupBy(*by).agg(F.max("runs").alias("runs"), *wide))
 
 
 def speedup(summary: DataFrame, series: Sequence[str], level: str) -> DataFrame:

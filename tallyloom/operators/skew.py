@@ -7,12 +7,14 @@ all keys.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from tallyloom.sources.files import cut_lineage
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 SALT = "_salt"
 SALTS = 16  # fixed value: default number of salts of the uniform salted join
@@ -39,6 +41,41 @@ def task_target(df: DataFrame) -> int:
 
 
 PIECES_PER_TASK = 4
+WRITTEN_OUT = 32          # hot keys that become an expression; more are broadcast
+TRACKED_PER_TASK = 16     # keys a heavy-hitter state tracks for each task they may overload
+MOST_TRACKED = 1_000_000  # fixed value: the most that Spark's state can track
+
+
+def heavy_state(df: DataFrame, key: str, tasks: int, by: Sequence[str] = ()) -> DataFrame:
+    """Mergeable heavy-hitter state per group of ``by``: ``rows`` and a ``sketch`` of the key.
+
+    Of bounded size whatever the number of keys: no key is shuffled. States of slices may be
+    stored and merged later by :func:`heavy_keys`. Null keys join nothing and are not counted.
+    The key is a number, a string, a date or a timestamp.
+    """
+    tracked = min(TRACKED_PER_TASK * tasks, MOST_TRACKED)
+    sketch = F.call_function("approx_top_k_accumulate", F.col(key), F.lit(tracked))
+    one = [] if by else [F.lit(1).alias("_all")]  # a group, so that empty tasks make no state
+    return df.filter(F.col(key).isNotNull()).groupBy(*by, *one).agg(
+        F.count(F.lit(1)).alias("rows"), sketch.alias("sketch")).select(*by, "rows", "sketch")
+
+
+def heavy_keys(states: DataFrame, tasks: int) -> tuple[list, int]:
+    """Candidates for hot keys, at most 2 * ``tasks``, and the number of rows, over all states.
+
+    A key with a share above 1/tasks is always among them: a state errs by less than a quarter of
+    that share, as it tracks sixteen keys for each task.
+    """
+    tracked = min(TRACKED_PER_TASK * tasks, MOST_TRACKED)
+    merged = F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(tracked))
+    return _likely(states.groupBy(F.lit(1)).agg(F.sum("rows").alias("rows"),
+                                                merged.alias("sketch")), tasks)
+
+
+def _likely(state: DataFrame, tasks: int) -> tuple[list, int]:
+    likely = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(2 * tasks))
+    found = state.select("rows", likely.alias("items")).first()
+    return ([r["item"] for r in found["items"]], found["rows"]) if found else ([], 0)
 
 
 def salt_counts(df: DataFrame, key: str, tasks: int) -> DataFrame:
@@ -48,12 +85,23 @@ def salt_counts(df: DataFrame, key: str, tasks: int) -> DataFrame:
     to 1, so there are fewer than ``tasks`` hot keys whatever the size of the data. A key is
     cut into a few pieces per balanced task, because pieces are dealt to tasks by hash.
 
-    The keys are counted once, here; the list is stored so that every use sees the same one.
+    One pass keeps bounded state to find the candidates, a second counts these alone, so no
+    count of all keys is ever made. The counts run here; the few keys come back as a local table,
+    so that every use sees the same ones.
     """
-    profile = key_profile(df.filter(F.col(key).isNotNull()), key, tasks)
-    return cut_lineage(profile.filter(F.col("share") * tasks > 1).select(
-        F.col(key).alias("_hot_key"),
-        F.ceil(F.col("share") * tasks * PIECES_PER_TASK).cast("int").alias("_salts")))
+    tasks = min(tasks, MOST_TRACKED // TRACKED_PER_TASK)
+    keys = df.select(key)
+    likely, total = _likely(heavy_state(keys, key, tasks), tasks)
+    counted = (keys.filter(F.col(key).isin(likely)).groupBy(key).count().collect()
+               if likely else [])
+    hot = [(r[key], math.ceil(r["count"] / total * tasks * PIECES_PER_TASK))
+           for r in counted if r["count"] * tasks > total]
+    schema = StructType([StructField("_hot_key", df.schema[key].dataType),
+                         StructField("_salts", IntegerType())])
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*hot) if hot else ((), ()),
+                                                   to_arrow_schema(schema))]
+    return df.sparkSession.createDataFrame(
+        pa.Table.from_arrays(columns, names=schema.names), schema)
 
 
 def salt(stable: Sequence[str], salts: int | Column) -> Column:
@@ -92,15 +140,24 @@ def selective_salted_join(big: DataFrame, small: DataFrame, big_key: str, small_
 
     Only the small side's rows of hot keys are replicated. ``hot`` is the result of
     :func:`salt_counts`, by default for the session's number of reduce tasks; it has fewer
-    rows than there are tasks by construction, which bounds its broadcast.
+    rows than there are tasks by construction, which bounds its broadcast. A few keys are written
+    into the plan instead.
     """
     if hot is None:
         hot = salt_counts(big.select(big_key), big_key, task_target(big))
 
-    def marked(side: DataFrame, key: str) -> DataFrame:
-        return side.join(F.broadcast(hot), side[key] == hot["_hot_key"], "left").drop("_hot_key")
+    few = hot.limit(WRITTEN_OUT + 1).collect()
 
-    pieces = F.coalesce(F.col("_salts"), F.lit(1))
+    def marked(side: DataFrame, key: str) -> DataFrame:
+        if len(few) > WRITTEN_OUT:
+            joined = side.join(F.broadcast(hot), side[key] == hot["_hot_key"], "left")
+            return joined.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_hot_key")
+        salts = F.lit(1)
+        for r in few:
+            salts = F.when(F.col(key) == F.lit(r["_hot_key"]), F.lit(r["_salts"])).otherwise(salts)
+        return side.withColumn("_salts", salts)
+
+    pieces = F.col("_salts")
     left = marked(big, big_key).withColumn(SALT, salt(stable, pieces)).drop("_salts")
     right = replicate(marked(small, small_key), pieces).drop("_salts")
     on = (left[big_key] == right[small_key]) & (left[SALT] == right[SALT])

@@ -36,6 +36,8 @@ QUERIES: dict[str, Query] = {
     "rollup_partial": star.rollup_partial,
     "rollup_merge": star.rollup_merge,
     "rollup_distinct_merge": star.rollup_distinct_merge,
+    "rollup_value_counts": star.rollup_value_counts,
+    "rollup_many_values": star.rollup_many_values,
     "rollup_top": star.rollup_top,
     "union_parts": star.union_parts,
     "gen_trips": generated.gen_trips,
@@ -51,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "table_diff_gate": star.table_diff_gate,
     "repartition_invariance": star.repartition_invariance,
     "measure_summary": events.measure_summary,
+    "measure_values": events.measure_values,
     "measure_speedup": events.measure_speedup,
     "measure_throughput": events.measure_throughput,
     "measure_best": events.measure_best,

@@ -72,9 +72,39 @@ def measure_best(spark: SparkSession, sf: str) -> DataFrame:
     return measure.best(runs(spark, sf), [SERIES, LEVEL], "value")
 
 
+# Jobs: a user's events of one type in ten days are a run; its rows are the events, its compute
+# time their values, its wall time also the time they span; its cores follow from the user.
+
+CORES, VALUES = "cores", ("rows", "compute_s", "wall_s", "rows_per_s")
+
+
+def jobs(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").select("ts", "user_id", "event_type", "value")
+    at = events.withColumn("at", epoch_seconds(events, "ts"))
+    days = F.floor((F.col("at") - F.lit(1_704_067_200)) / 864_000).alias("days")
+    runs = at.groupBy(SERIES, "user_id", days).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("compute_s"),
+        (F.max("at") - F.min("at")).alias("_span"))
+    return runs.withColumns({
+        CORES: F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("user_id") % 4).cast("int")),
+        "wall_s": F.col("compute_s") + F.col("_span"),
+        "rows_per_s": F.try_divide("rows", "compute_s")}).drop("_span")
+
+
+def job_summary(spark: SparkSession, sf: str) -> DataFrame:
+    found = measure.summarise_values(jobs(spark, sf), [SERIES, CORES], ["days", "user_id"], VALUES)
+    return found.withColumns({f"{v}_median": F.round(f"{v}_median", 6) for v in VALUES})
+
+
+def measure_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, compute time, wall time and rows per second side by side, also per core."""
+    return job_summary(spark, sf).withColumn(
+        "rows_per_s_core", F.try_divide("rows_per_s_median", F.col(CORES)))
+
+
 def measure_cost_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    return measure.cost_ratio(summary(spark, sf), SERIES, LEVEL, "click", "runs", "median",
-                              LEVEL)
+    return measure.cost_ratio(job_summary(spark, sf), SERIES, CORES, "click", "rows_median",
+                              "compute_s_median", CORES)
 
 
 def measure_largest(spark: SparkSession, sf: str) -> DataFrame:

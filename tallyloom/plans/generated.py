@@ -33,19 +33,20 @@ def gen_zones(spark: SparkSession, sf: str) -> DataFrame:
 
 def gen_trips_skewed(spark: SparkSession, sf: str) -> DataFrame:
     """Trips per pickup zone with 30% of them forced into the hot zone."""
-    return made_trips(spark, sf, skew=True).groupBy("pickup_zone_id").agg(
+    return made_trips(spark, sf, skew=True, columns=["pickup_zone_id"]).groupBy("pickup_zone_id").agg(
         F.count(F.lit(1)).alias("n"))
 
 
 def gen_hot_zones(spark: SparkSession, sf: str) -> DataFrame:
     """The three fullest zones at a hot share of 85%."""
-    counts = made_trips(spark, sf, skew=True, hot_share=0.85).groupBy("pickup_zone_id").agg(
+    made = made_trips(spark, sf, skew=True, hot_share=0.85, columns=["pickup_zone_id"])
+    counts = made.groupBy("pickup_zone_id").agg(
         F.count(F.lit(1)).alias("n"))
     return ranking.top_k(counts, "n", "pickup_zone_id", 3)
 
 
 def gen_dirty_rate(spark: SparkSession, sf: str) -> DataFrame:
-    made = made_trips(spark, sf)
+    made = made_trips(spark, sf, columns=["trip_distance_km", "fare_amount"])
     dirty = (F.col("trip_distance_km") == 0) & (F.col("fare_amount") == -1)
     either = (F.col("trip_distance_km") == 0) | (F.col("fare_amount") == -1)
     return made.agg(F.count(F.lit(1)).alias("n"), F.count_if(dirty).alias("dirty"),
@@ -63,9 +64,9 @@ def settled(result: DataFrame) -> DataFrame:
 
 
 def trips_borough_hour(spark: SparkSession, sf: str) -> DataFrame:
-    state = trips.zone_hour_state(made_trips(spark, sf))
-    result = trips.borough_hour_from_state(state, made_zones(spark))
-    return settled(result)
+    """The hourly result by way of mergeable state."""
+    state = trips.borough_hour_state(made_trips(spark, sf), made_zones(spark))
+    return settled(trips.borough_hour_from_state(state))
 
 
 def trips_top_zones(spark: SparkSession, sf: str) -> DataFrame:

@@ -124,6 +124,17 @@ ROLLUP_DISTINCT = f"""
     FROM ({KEPT}) k JOIN ({SUPPLIER_REGION}) s ON k.l_suppkey = s.s_suppkey
     GROUP BY r_name, ship_month"""
 
+ROLLUP_VALUES = f"""
+    SELECT r_name, ship_month, l_returnflag AS value, count(*) AS rows
+    FROM ({KEPT}) k JOIN ({SUPPLIER_REGION}) s ON k.l_suppkey = s.s_suppkey
+    GROUP BY r_name, ship_month, l_returnflag"""
+
+ROLLUP_MANY = f"""
+    SELECT r_name, count(*) AS n, count(DISTINCT l_returnflag) AS n_flags,
+           count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_suppkey) AS n_suppliers
+    FROM ({KEPT}) k JOIN ({SUPPLIER_REGION}) s ON k.l_suppkey = s.s_suppkey
+    GROUP BY r_name"""
+
 UNION_PARTS = """
     SELECT l_linestatus, count(*) AS n, sum(l_quantity) AS quantity,
            round(sum(l_extendedprice), 2) AS price
@@ -241,10 +252,34 @@ MEASURE_THROUGHPUT = f"""
 MEASURE_BEST = f"""
     SELECT event_type, level, min(value) AS best FROM ({RUNS}) r GROUP BY event_type, level"""
 
+JOBS = """
+    SELECT *, rows / nullif(compute_s, 0) AS rows_per_s FROM (
+        SELECT event_type, user_id, sec // 864000 AS days, count(*) AS rows,
+               round(sum(value), 2) AS compute_s,
+               round(sum(value), 2) + (max(sec) - min(sec)) AS wall_s,
+               CAST(1 << CAST(user_id % 4 AS INTEGER) AS BIGINT) AS cores
+        FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) - 1704067200 AS sec FROM events) e
+        GROUP BY event_type, user_id, days) j"""
+
+JOB_VALUES = ("rows", "compute_s", "wall_s", "rows_per_s")
+
+JOB_SUMMARY = f"""
+    SELECT event_type, cores, count(*) AS runs, {", ".join(
+        f"round(median({v}), 6) AS {v}_median, CAST(min({v}) AS DOUBLE) AS {v}_min, "
+        f"CAST(max({v}) AS DOUBLE) AS {v}_max" for v in JOB_VALUES)}
+    FROM (SELECT *, row_number() OVER (PARTITION BY event_type, cores
+                                       ORDER BY days, user_id) AS repetition
+          FROM ({JOBS}) j) n
+    WHERE repetition > 1 GROUP BY event_type, cores"""
+
+MEASURE_VALUES = f"""
+    SELECT *, rows_per_s_median / cores AS rows_per_s_core FROM ({JOB_SUMMARY}) s"""
+
 MEASURE_COST_RATIO = f"""
-    WITH rates AS (SELECT event_type, level, runs / nullif(median * level, 0) AS rate FROM ({SUMMARY}) s)
-    SELECT a.event_type, a.level, a.rate AS rows_per_s_core, b.rate / nullif(a.rate, 0) AS cost_ratio
-    FROM rates a LEFT JOIN rates b ON a.level = b.level AND b.event_type = 'click'"""
+    WITH rates AS (SELECT event_type, cores, rows_median / nullif(compute_s_median * cores, 0) AS rate
+                   FROM ({JOB_SUMMARY}) s)
+    SELECT a.event_type, a.cores, a.rate AS rows_per_s_core, b.rate / nullif(a.rate, 0) AS cost_ratio
+    FROM rates a LEFT JOIN rates b ON a.cores = b.cores AND b.event_type = 'click'"""
 
 MEASURE_LARGEST = f"""
     WITH sizes AS (SELECT event_type, level, count(*) AS n FROM ({RUNS}) r
@@ -405,6 +440,8 @@ ORACLES: dict[str, str] = {
     "rollup_partial": ROLLUP_PARTIAL,
     "rollup_merge": REGION_MONTH,
     "rollup_distinct_merge": ROLLUP_DISTINCT,
+    "rollup_value_counts": ROLLUP_VALUES,
+    "rollup_many_values": ROLLUP_MANY,
     "rollup_top": TOP_PER_REGION,
     "union_parts": UNION_PARTS,
     "gen_trips": trips(),
@@ -422,6 +459,7 @@ ORACLES: dict[str, str] = {
     "table_diff_gate": TABLE_DIFF_GATE,
     "repartition_invariance": INVARIANCE,
     "measure_summary": SUMMARY,
+    "measure_values": MEASURE_VALUES,
     "measure_speedup": MEASURE_SPEEDUP,
     "measure_throughput": MEASURE_THROUGHPUT,
     "measure_best": MEASURE_BEST,

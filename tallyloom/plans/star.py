@@ -220,7 +220,7 @@ def top_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def supplier_campaigns(spark: SparkSession, sf: str) -> DataFrame:
     """One campaign per part, dealt out to the suppliers in turn."""
-    suppliers = table(spark, sf, "supplier").count()
+    suppliers = table(spark, sf, "supplier").agg(F.count(F.lit(1))).scalar()
     return synthetic.campaigns(table(spark, sf, "part").select("p_partkey"),
                                id_column="p_partkey", keys=suppliers, first_key=0)
 
@@ -273,12 +273,20 @@ def region_slices(spark: SparkSession, sf: str, part: str = "order_month") -> Da
 
 
 def rollup_partial(spark: SparkSession, sf: str) -> DataFrame:
-    return region_slices(spark, sf).select(
-        "order_month", *GROUP, "n", F.round("revenue", 2).alias("revenue"),
-        F.round("avg_price_sum", 2).alias("sum_price"), F.col("avg_price_n").alias("n_price"),
-        F.round("avg_rate_sum", 6).alias("sum_rate"), "max_quantity",
-        F.concat_ws(",", F.sort_array("n_flags_set")).alias("flags"),
-        F.size("n_flags_set").cast("bigint").alias("n_flags"))
+    """One line per slice and group: its state rows, one for each flag, side by side."""
+    by = ["order_month", *GROUP]
+    return region_slices(spark, sf).groupBy(*by).agg(
+        F.sum("n").alias("n"), F.round(F.sum("revenue"), 2).alias("revenue"),
+        F.round(F.sum("avg_price_sum"), 2).alias("sum_price"),
+        F.sum("avg_price_n").alias("n_price"), F.round(F.sum("avg_rate_sum"), 6).alias("sum_rate"),
+        F.max("max_quantity").alias("max_quantity"), *flag_columns())
+
+
+def flag_columns() -> list[Column]:
+    """The few flags of a group written out, and their number, from merged state rows."""
+    value = MEASURES.value_state("n_flags")
+    return [F.concat_ws(",", F.sort_array(F.collect_list(value))).alias("flags"),
+            F.count(value).alias("n_flags")]
 
 
 def rollup_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -291,8 +299,24 @@ def rollup_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def rollup_distinct_merge(spark: SparkSession, sf: str) -> DataFrame:
     state = rollup.compact(region_slices(spark, sf), GROUP, MEASURES)
-    return state.select(*GROUP, F.concat_ws(",", F.sort_array("n_flags_set")).alias("flags"),
-                        F.size("n_flags_set").cast("bigint").alias("n_flags"))
+    return state.groupBy(*GROUP).agg(*flag_columns())
+
+
+def rollup_value_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per region, month and flag, read off the merged state."""
+    return groups.frequencies(region_slices(spark, sf), GROUP, MEASURES, "n_flags")
+
+
+WIDE = groups.Measures(counts={"n": "*"}, distincts={"n_flags": "l_returnflag"},
+                       bitmaps={"n_orders": "l_orderkey", "n_suppliers": "l_suppkey"})
+
+
+def rollup_many_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct orders and suppliers per region, merged from monthly slices as bitmaps."""
+    slices = groups.partial_by_dimension(
+        with_order_dates(kept(spark, sf)), supplier_regions(spark, sf), "l_suppkey", "s_suppkey",
+        ["order_month"], ["r_name"], WIDE, broadcast=suppliers_small(spark, sf))
+    return rollup.answer(slices, ["r_name"], WIDE)
 
 
 def rollup_top(spark: SparkSession, sf: str) -> DataFrame:

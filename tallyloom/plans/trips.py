@@ -13,6 +13,7 @@ from tallyloom.operators import diff, groups, quality, ranking, rollup
 from tallyloom.operators.enrich import attach
 from tallyloom.sources import files
 
+# The names of the results and what they are computed from.
 MEASURES = groups.Measures(
     counts={"trips": "trip_id"},
     sums={"total_revenue": "total_amount"},
@@ -86,7 +87,7 @@ STATE_KEYS = ["pickup_zone_id", "pickup_hour"]
 def zone_hour_state(trips: DataFrame, part: str | None = None) -> DataFrame:
     """Mergeable state per (zone, hour), or per (part, zone, hour).
 
-    At most zones x 24 rows per part, however many trips: the raw rows are neither joined nor
+    At most zones x 24 x vendors rows per part, however many trips: the raw rows are neither joined nor
     shuffled, only partial aggregates are.
     """
     rows = trips.transform(clean).transform(derive)
@@ -94,12 +95,28 @@ def zone_hour_state(trips: DataFrame, part: str | None = None) -> DataFrame:
     return groups.partial(rows, keys, MEASURES)
 
 
-def borough_hour_from_state(state: DataFrame, zones: DataFrame) -> DataFrame:
-    joined = enrich(state, zones)
-    return (rollup.answer(joined, ["borough", "pickup_hour"], MEASURES)
+def borough_hour_state(trips: DataFrame, zones: DataFrame, part: str | None = None) -> DataFrame:
+    """Mergeable state per (borough, hour), or per (part, borough, hour).
+
+    For the hourly result alone: it is coarser than :func:`zone_hour_state`, and finishing it
+    reuses its partitioning.
+    """
+    rows = trips.transform(clean).transform(derive)
+    fact_by = ["pickup_hour"] if part is None else [part, "pickup_hour"]
+    return groups.partial_by_dimension(rows, zones.select("zone_id", "borough"), "pickup_zone_id",
+                                       "zone_id", fact_by, ["borough"], MEASURES)
+
+
+def _hours(state: DataFrame) -> DataFrame:
+    return (rollup.answer(state, ["borough", "pickup_hour"], MEASURES)
             .select(*S.BOROUGH_HOUR.names).orderBy("borough", "pickup_hour"))
 
 
+def borough_hour_from_state(state: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """The hourly result from zone state and its zones, or from borough state alone."""
+    return _hours(state if zones is None else enrich(state, zones))
+
+
 def top_zones_from_state(state: DataFrame, zones: DataFrame, n: int = S.TOP_N) -> DataFrame:
     totals = enrich(state, zones).groupBy(
         "borough", F.col("pickup_zone_id").alias("zone_id")).agg(
@@ -127,9 +144,12 @@ def run(spark: SparkSession, trips_path: str, zones_path: str, out: str) -> dict
 
     trips = files.read_parquet(spark, trips_path, schema=S.TRIPS)
     zones = files.read_parquet(spark, zones_path, schema=S.ZONES)
-    files.write_parquet(zone_hour_state(trips), f"{out}/state")
-    state = files.read_parquet(spark, f"{out}/state")
-    record = {"state_s": lap()}
+    fresh = zone_hour_state(trips)
+    with files.planned_splits(trips) as plan:
+        record = {**plan, "scan_partitions": files.scan_partitions(trips)}
+        files.write_parquet(fresh, f"{out}/state")
+    state = files.read_parquet(spark, f"{out}/state", schema=fresh.schema)
+    record["state_s"] = lap()
     files.write_csv(borough_hour_from_state(state, zones), f"{out}/agg")
     record["agg_s"] = lap()
     files.write_csv(top_zones_from_state(state, zones), f"{out}/top_zones")
@@ -139,7 +159,6 @@ def run(spark: SparkSession, trips_path: str, zones_path: str, out: str) -> dict
     # rows of the join: kept trips whose zone is known
     record["rows_kept"] = enrich(state, zones).agg(
         F.coalesce(F.sum("trips"), F.lit(0)).cast("bigint")).first()[0]
-    record["scan_partitions"] = files.scan_partitions(trips)
     record["shuffle_partitions"] = int(spark.conf.get("spark.sql.shuffle.partitions"))
     record["default_parallelism"] = spark.sparkContext.defaultParallelism
     files.write_json(spark.createDataFrame([record]), f"{out}/record")

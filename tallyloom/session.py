@@ -8,14 +8,16 @@ MIB = 1024 * 1024
 
 
 def split_bytes(input_bytes: int, cores: int, waves: int = 3,
-                smallest: int = 16 * MIB, largest: int = 512 * MIB) -> int:
+                smallest: int = 16 * MIB, largest: int = 512 * MIB, *,
+                files: int = 0, open_cost: int = 0) -> int:
     """Scan split size that gives every core about ``waves`` tasks.
 
-    Small inputs get 16 MiB splits, so that a handful of files is not packed into fewer
-    tasks than there are cores; very large inputs get up to 512 MiB, so that the number of
-    tasks stays in the hundreds of thousands.
+    Spark packs files into a split until the next one would not fit, counting ``open_cost`` bytes
+    more for each of the ``files`` already in it, so these count here too. Small inputs get splits
+    of ``smallest``; very large ones get up to ``largest``, so that the number of tasks stays in
+    the hundreds of thousands.
     """
-    wanted = input_bytes // max(cores * waves, 1)
+    wanted = (input_bytes + files * open_cost) // max(cores * waves, 1) - open_cost
     return max(smallest, min(largest, wanted))
 
 
@@ -30,14 +32,6 @@ def build_session(app: str = "tallyloom", *, master: str | None = None,
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.ansi.enabled": "true",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.parquet.compression.codec": "snappy",
-        # explain() should show the whole list of pushed filters
-        "spark.sql.maxMetadataStringLength": "2000",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

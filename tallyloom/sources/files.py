@@ -5,12 +5,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.functions.sizing import as_bytes, scanned_bytes
+from tallyloom.session import split_bytes
+
+SPLIT, OPEN_COST = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
 
 
 def read_parquet(spark: SparkSession, *paths: str, schema: StructType | str | None = None,
@@ -30,8 +35,11 @@ def row_count(spark: SparkSession, *paths: str) -> int:
 
 
 def scan_partitions(df: DataFrame) -> int:
-    """Number of tasks the scan would start with; plans the query but runs nothing."""
-    return df.rdd.getNumPartitions()
+    """Number of tasks the scan would start with; plans the query but runs nothing.
+
+    Planned anew, so that the session's present settings count.
+    """
+    return df.select("*").rdd.getNumPartitions()
 
 
 def with_row_number_in_file(df: DataFrame, name: str = "row_in_file") -> DataFrame:
@@ -56,15 +64,37 @@ def spread(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
+@contextmanager
+def planned_splits(df: DataFrame, waves: int = 3) -> Iterator[dict]:
+    """Within the block, scans start with about ``waves`` tasks a core, or one per file if those
+    are fewer than the files.
+
+    The split size follows from the bytes and the number of the files below ``df`` and from the
+    cores, before anything is read. Queries planned in the block use it: build the plan of ``df``
+    anywhere, run its actions inside. Gives a record of what was planned; the session's own
+    setting comes back at the end.
+    """
+    spark = df.sparkSession
+    plan = {"source_bytes": scanned_bytes(df), "source_files": len(df.inputFiles()),
+            "cores": spark.sparkContext.defaultParallelism}
+    cost = as_bytes(spark.conf.get(OPEN_COST))
+    plan["split_bytes"] = split_bytes(plan["source_bytes"], plan["cores"], waves, smallest=cost,
+                                      files=plan["source_files"], open_cost=cost)
+    before = spark.conf.get(SPLIT)
+    spark.conf.set(SPLIT, str(plan["split_bytes"]))
+    try:
+        yield plan
+    finally:
+        spark.conf.set(SPLIT, before)
+
+
 def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when its source is too small to give each a task.
+    """Spread a scan over the cores when it has fewer splits than there are cores.
 
     A larger source is left as it is scanned, so no shuffle is added where it would cost.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return spread(df, cores) if scanned_bytes(df) < cores * as_bytes(whole) else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return spread(df, cores) if scan_partitions(df) < cores else df
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "errorifexists",

@@ -12,7 +12,9 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", master="local[8]", shuffle_partitions=8)
+    # the plans that tests read should show the whole list of pushed filters
+    session = build_session("tests", master="local[8]", shuffle_partitions=8,
+                            settings={"spark.sql.maxMetadataStringLength": "2000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

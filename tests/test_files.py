@@ -133,3 +133,29 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             files.shared_folder(session(master))
     assert files.shared_folder(session("local[4]"))
+
+
+def test_split_size_counts_the_cost_of_files():
+    assert split_bytes(320 * MIB, 8, smallest=MIB, files=32, open_cost=4 * MIB) == 448 * MIB // 24 - 4 * MIB
+
+
+@pytest.mark.parametrize("n_files, rows", [(32, 2_000_000), (2, 4_000_000)])
+def test_planned_splits_give_every_core_three_tasks_or_every_file_one(spark, n_files, rows):
+    path = files.fresh_path(spark, "test-splits")
+    cores = spark.sparkContext.defaultParallelism
+    made = spark.range(0, rows, 1, n_files).select(F.xxhash64("id").alias("a"),
+                                                   F.xxhash64("id", F.lit(1)).alias("b"))
+    made.write.option("parquet.block.size", MIB).parquet(path)
+    df = files.read_parquet(spark, path, schema="a bigint, b bigint")
+    before = spark.conf.get(files.SPLIT)
+    with files.planned_splits(df) as record:
+        assert record["source_files"] == n_files and record["cores"] == cores
+        assert record["source_bytes"] > 16 * rows // 2
+        assert files.scan_partitions(df) >= min(3 * cores, n_files)
+        if n_files < 3 * cores:  # large files are cut
+            assert files.scan_partitions(df) > n_files
+        assert df.agg(F.count("a")).first()[0] == rows
+    assert spark.conf.get(files.SPLIT) == before
+    with pytest.raises(ZeroDivisionError), files.planned_splits(df):
+        1 / 0
+    assert spark.conf.get(files.SPLIT) == before

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import diff, groups, rollup
 from tallyloom.sources import files
+from tests.support.plans import plan
 
 M = groups.Measures(counts={"n": "x", "rows": "*"}, sums={"total": "x"}, means={"mean": "x"},
                     maxes={"top": "x"}, distincts={"kinds": "kind", "people": "who"})
@@ -95,3 +96,55 @@ def test_dimension_groups_do_not_depend_on_the_join(spark, broadcast):
     diff.require_same(diff.diff_tables(expected, groups.finish(state, ["label", "g"], M),
                                        ["label", "g"]))
     assert out.filter(F.col("label") == "z").count() == 0
+
+
+WIDE = groups.Measures(counts={"rows": "*"}, distincts={"kinds": "kind"},
+                       bitmaps={"ids": "id", "others": "other"})
+
+
+@pytest.mark.parametrize("m", [
+    WIDE, groups.Measures(sums={"total": "id"}, bitmaps={"ids": "id", "others": "other"}),
+    groups.Measures(maxes={"top": "id"}, distincts={"kinds": "kind", "names": "name", "o": "other"})])
+def test_bitmaps_and_value_rows_agree_with_counting(spark, m):
+    """Numbers of both signs, beyond 32 bits and null; groups without any value."""
+    far = F.when(F.col("id") % 3 == 0, F.col("id") * 1_000_003 - 5 * 10 ** 12)
+    df = spark.range(-3_000, 3_000).select(
+        "id", (F.col("id") % 5).alias("g"), (F.col("id") % 4).alias("part"), far.alias("other"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 7).cast("int").alias("kind"),
+        (F.col("id") % 11).cast("string").alias("name"))
+    none = df.filter("g = 1").select("id", F.lit(99).alias("g"), "part", F.lit(None).cast(
+        "bigint").alias("other"), F.lit(None).cast("int").alias("kind"), "name")
+    df = df.union(none)
+    direct = groups.aggregate(df, ["g"], m)
+    state = rollup.slices(df, "part", ["g"], m)
+    for s in (state, rollup.compact(state, ["part", "g"], m), rollup.compact(state, ["g"], m)):
+        diff.require_same(diff.diff_tables(direct, rollup.answer(s, ["g"], m), ["g"]))
+    assert rollup.answer(state, ["g"], m).dtypes == direct.dtypes
+
+
+def test_frequencies_are_mergeable(spark):
+    df = spark.range(1_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 4).alias("part"),
+                                   F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("kind"))
+    m = groups.Measures(distincts={"kinds": "kind"})
+    want = df.filter("kind IS NOT NULL").groupBy("g", F.col("kind").alias("value")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    got = groups.frequencies(rollup.slices(df, "part", ["g"], m), ["g"], m, "kinds")
+    assert diff.diff_rows(want, got).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["distincts", "bitmaps"])
+def test_ten_million_values_in_one_group_make_no_large_row(spark, kind):
+    """Two slices of ten million overlapping numbers in one group, and in one state."""
+    m = groups.Measures(counts={"rows": "*"}, **{kind: {"ids": "x"}})
+    df = spark.range(0, 20_000_000, 1, 16).select(
+        F.lit("hot").alias("g"), (F.col("id") % 2).alias("part"), F.shiftright("id", 1).alias("x"))
+    state = rollup.slices(df, "part", ["g"], m)
+    text = plan(rollup.answer(state, ["g"], m))
+    assert "collect_set" not in text and "collect_list" not in text
+    merged = rollup.compact(state, ["g"], m)
+    if kind == "bitmaps":
+        assert merged.agg(F.max(F.octet_length("_bits"))).first()[0] == 4096
+    else:
+        assert all(t in ("string", "bigint") for _, t in merged.dtypes)
+    out = rollup.answer(state, ["g"], m).first()
+    assert (out["rows"], out["ids"]) == (20_000_000, 10_000_000)

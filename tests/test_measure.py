@@ -147,3 +147,31 @@ def test_best_and_largest(spark):
     assert {r.config: (r.rows, r.largest_level)
             for r in measure.largest_level(df, "config", "level").collect()} == {
         "a": (6, 1), "b": (1, 5)}
+
+
+def test_several_values_are_ranked_together(spark):
+    rng = random.Random(7)
+    rows = [(c, level, rep, round(rng.random(), 3) + 0.5, rng.choice([None, math.nan, 2.0, 5.0]),
+             100 * level)
+            for c, level, n in (("a", 1, 40), ("a", 2, 41), (None, 4, 9), ("c", 1, 1))
+            for rep in range(n)]
+    df = spark.createDataFrame(
+        rows, "config string, level bigint, rep bigint, wall double, compute double, rows bigint")
+    out = measure.summarise_values(df, ["config", "level"], ["rep"], ["wall", "compute", "rows"])
+    found = {(r.config, r.level): r for r in out.collect()}
+    assert set(found) == {("a", 1), ("a", 2), (None, 4)}  # ("c", 1) had its warm-up only
+    for key, r in found.items():
+        mine = [x for x in rows if x[:2] == key and x[2] > 0]
+        assert r.runs == len(mine)
+        for i, name in ((3, "wall"), (4, "compute"), (5, "rows")):
+            values = [x[i] for x in mine if x[i] is not None and not math.isnan(x[i])]
+            got = r[f"{name}_median"], r[f"{name}_min"], r[f"{name}_max"]
+            assert got == pytest.approx((statistics.median(values), min(values), max(values)))
+
+
+def test_a_value_that_was_never_measured_is_null(spark):
+    df = spark.createDataFrame([("a", 1, 0, 1.0, None), ("a", 1, 1, 2.0, None)],
+                               "config string, level bigint, rep bigint, x double, y double")
+    row = measure.summarise_values(df, ["config", "level"], ["rep"], ["x", "y"]).first()
+    assert (row.runs, row.x_median, row.y_median) == (1, 2.0, None)
+    assert measure.summarise_values(df.limit(0), ["config"], ["rep"], ["x"]).count() == 0

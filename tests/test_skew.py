@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import diff, ranking, skew
+from tallyloom.sources import files
 from tests.support.plans import final_plan, plan
 
 
@@ -42,6 +44,15 @@ def test_joined_rows_are_the_same(spark):
         assert diff.diff_rows(plain, other).count() == 0
 
 
+@pytest.mark.parametrize("written_out", [0, 32])
+def test_hot_keys_in_the_plan_or_broadcast(spark, monkeypatch, written_out):
+    monkeypatch.setattr(skew, "WRITTEN_OUT", written_out)
+    big, small = skewed(spark, 500), small_side(spark)
+    joined = skew.selective_salted_join(big, small, "k", "key", ["id"])
+    assert ("BroadcastHashJoin" in plan(joined)) == (written_out == 0)
+    assert diff.diff_rows(skew.plain_join(big, small, "k", "key"), joined).count() == 0
+
+
 def test_null_keys_and_empty_sides(spark):
     big = skewed(spark, 200).withColumn("k", F.when(F.col("id") % 2 == 0, F.col("k")))
     results = all_joins(big, small_side(spark))
@@ -105,3 +116,38 @@ def test_preaggregated_join_builds_no_pairs(spark):
                                           "total", "n"))
     join = text.index("Join")
     assert text.count("HashAggregate") == 4 and text.index("HashAggregate") > join
+
+
+def test_hot_keys_are_found_among_very_many_without_counting_all(spark):
+    """More keys than the state tracks, met in the worst order: hot ones last."""
+    n, tasks = 400_000, 8
+    rows = spark.range(0, n, 1, 4).select(
+        F.when(F.col("id") < n * 7 // 10, F.col("id")).when(F.col("id") % 2 == 0, F.lit(-1))
+        .otherwise(-2 - F.col("id") % 3).alias("k"))
+    hot = {r["_hot_key"]: r["_salts"] for r in skew.salt_counts(rows, "k", tasks).collect()}
+    assert hot == {-1: 5}  # 15% of the rows; the three others have 5% each
+    state = skew.heavy_state(rows, "k", tasks)
+    text = plan(state)
+    assert "hashpartitioning(k" not in text  # one state a task, no key is shuffled
+
+
+def test_heavy_hitter_states_of_slices_merge(spark):
+    rows = skewed(spark, 20_000, 0.4).withColumn("part", F.col("id") % 3)
+    slices = skew.heavy_state(rows, "k", 8, ["part"])
+    path = files.fresh_path(spark, "test-heavy")
+    files.write_parquet(slices, path)
+    found, total = skew.heavy_keys(spark.read.parquet(path), 8)
+    assert total == 20_000 and 3 in found
+    assert skew.heavy_keys(slices.limit(0), 8) == ([], 0)
+
+
+def test_hot_keys_may_be_strings_or_dates(spark):
+    rows = skewed(spark, 2_000)
+    for kind in ("string", "date"):
+        key = F.col("k").cast("string") if kind == "string" else F.date_add(
+            F.lit("2024-01-01").cast("date"), F.col("k").cast("int"))
+        df = rows.select(key.alias("k"))
+        hot = skew.salt_counts(df, "k", 8)
+        assert hot.schema["_hot_key"].dataType == df.schema["k"].dataType
+        assert [r["_salts"] for r in hot.collect()] == [21]
+    assert skew.salt_counts(rows.limit(0), "k", 8).count() == 0

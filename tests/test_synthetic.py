@@ -7,6 +7,7 @@ from tallyloom import schemas as S
 from tallyloom.functions.uniforms import Uniforms
 from tallyloom.operators import diff
 from tallyloom.sources import files, synthetic
+from tests.support.plans import plan
 
 N = 100_000
 
@@ -118,3 +119,39 @@ def test_write_data_set_refuses_to_overwrite(spark):
 def test_unknown_scale():
     with pytest.raises(ValueError, match="huge"):
         S.scale("huge")
+
+
+def streams_in(df):
+    import re
+
+    return sorted({int(k or 1) - 1 for k in re.findall(r"_b#\d+L(?: \* (\d+))?\)", plan(df))})
+
+
+def test_only_the_streams_of_asked_columns_are_computed(spark):
+    ids = spark.range(10)
+    assert streams_in(synthetic.trips(ids)) == [0, *range(2, 16)]
+    assert streams_in(synthetic.trips(ids, skew=True)) == list(range(16))
+    for columns, skew, wanted in ((["pickup_zone_id"], True, [0, 1]), (["pickup_zone_id"], False, [0]),
+                                  (["trip_id"], True, []), (["payment_type"], True, [14]),
+                                  (["trip_distance_km", "fare_amount"], False, [4, 5, 7, 8, 9, 15]),
+                                  (["dropoff_ts"], False, [2, 3, 4, 5, 6, 7, 8, 9])):
+        made = synthetic.trips(ids, skew=skew, columns=columns)
+        assert made.columns == columns and streams_in(made) == wanted
+
+
+def test_registered_counts_draw_no_more_than_they_need(spark, sf):
+    from tallyloom.plans import generated
+
+    assert streams_in(generated.gen_trips_skewed(spark, sf)) == [0, 1]
+    assert streams_in(generated.gen_hot_zones(spark, sf)) == [0, 1]
+    assert streams_in(generated.gen_dirty_rate(spark, sf)) == [4, 5, 7, 8, 9, 15]
+
+
+def test_a_column_is_the_same_whatever_else_is_asked_for(spark):
+    whole = synthetic.trips(spark.range(500), skew=True)
+    for name in S.TRIPS.names:
+        alone = synthetic.trips(spark.range(500), skew=True, columns=["trip_id", name] if
+                                name != "trip_id" else [name])
+        assert diff.diff_rows(whole.select(*alone.columns), alone).count() == 0
+    with pytest.raises(ValueError, match="km"):
+        synthetic.trips(spark.range(1), columns=["km"])

@@ -164,3 +164,21 @@ def test_state_neither_joins_nor_shuffles_rows(tables):
     assert "Join" not in text
     before_shuffle = text[text.rindex("Exchange"):]
     assert "partial_sum" in before_shuffle
+
+
+def test_borough_state_merges_and_costs_no_more_exchanges(spark, tables, expected):
+    state = plan.borough_hour_state(*tables)
+    out = plan.borough_hour_from_state(state)
+    check(spark, out, expected[0], S.BOROUGH_HOUR, ["borough", "pickup_hour"])
+    exchanges = lambda df: plan_text(df).count("Exchange hash")
+    assert exchanges(out) <= exchanges(plan.borough_hour(plan.prepared(*tables)))
+    by_day = plan.borough_hour_state(plan.with_day(tables[0]), tables[1], "day")
+    check(spark, plan.borough_hour_from_state(by_day), expected[0], S.BOROUGH_HOUR,
+          ["borough", "pickup_hour"])
+
+
+def test_run_records_the_planned_scan(spark, data):
+    record = plan.run(spark, f"{data}/trips", f"{data}/zones", files.fresh_path(spark, "test-run"))
+    assert record["source_files"] == 6 and record["cores"] == spark.sparkContext.defaultParallelism
+    assert record["scan_partitions"] >= 6  # small files: one task each
+    assert record["split_bytes"] >= 4 * 2 ** 20 and record["source_bytes"] > 0
