@@ -3,8 +3,9 @@
 All documents take the same random walk (Chakraborty, Goldenberg and Koucky, 2016): in step j a
 text writes its current character and moves on or stays, by a random bit of j and that character.
 Texts at a small edit distance fall back into step, so that edit distance becomes Hamming
-distance between what they wrote. A walk has two steps for each character. The fingerprint
-samples BITS places of it; where the places lie depends on the length, but consistently: of two
+distance between what they wrote. A walk needs two steps a character on average; it gets three standard deviations
+more, so that all but about one in a thousand reach the end of their text, and little of the
+walk is spent there. The fingerprint samples BITS places of it; where the places lie depends on the length, but consistently: of two
 lengths that differ by a share p, all but about p of the places are the same (Lamping and Veach,
 2014). Each sample is one random bit of place and character.
 """
@@ -17,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import col
+from tallyloom.llm.shared import col, slices
 
 BITS, BANDS = 256, 16
+WINDOW = 1024    # steps of the walk held at a time
+SLICE = 8 << 20  # text bytes worked on together; a longer text is a slice of its own
 # Rows of random bits; the walk goes through them again and again.
 PERIOD = 8192
 _RNG = np.random.default_rng(20160619)
@@ -51,7 +54,11 @@ def classes(text: str) -> np.ndarray:
 
 
 def fingerprints(texts: list[str]) -> np.ndarray:
-    """Packed fingerprints, one row of BITS / 8 bytes per text; all texts walk at once."""
+    """Packed fingerprints, one row of BITS / 8 bytes per text.
+
+    All texts walk at once. Of the walk only WINDOW steps are held at a time: the sampled places
+    are read while it goes by.
+    """
     if not texts:
         return np.zeros((0, BITS // 8), np.uint8)
     coded = [classes(t).astype(np.uint8) for t in texts]
@@ -60,22 +67,28 @@ def fingerprints(texts: list[str]) -> np.ndarray:
     length = length[order]
     flat = np.concatenate([x for i in order for x in (coded[i], np.zeros(1, np.uint8))])
     at = np.concatenate([[0], np.cumsum(length + 1)[:-1]])
-    steps = 2 * length  # descending: in step j the first ``live[j]`` texts still walk
-    live = len(steps) - np.searchsorted(steps[::-1], np.arange(int(steps[0])), side="right")
-    begin = np.concatenate([[0], np.cumsum(live)])
-    written = np.empty(int(begin[-1]) + 1, np.uint8)
-    written[-1] = 0
-    for j, (n, first) in enumerate(zip(live.tolist(), begin.tolist())):
-        here = at[:n]
-        wrote = flat.take(here, out=written[first:first + n], mode="clip")
-        here += STEPS[j % PERIOD].take(wrote)
+    steps = 2 * length + np.ceil(3 * np.sqrt(2 * length)).astype(np.int64)  # descending: in step j the first ``live`` texts still walk
+    place = np.stack([p[np.maximum(np.searchsorted(p, steps) - 1, 0)] for p in PLACES])
+    rising = np.argsort(place, axis=None, kind="stable")
+    sampled = np.zeros(place.size, np.uint8)  # the class an empty text writes is 0
+    window = np.zeros((WINDOW, len(texts)), np.uint8)
+    last, done = int(steps[0]), 0
+    for begin in range(0, last, WINDOW):
+        end = min(begin + WINDOW, last)
+        live = len(steps) - np.searchsorted(steps[::-1], np.arange(begin, end), side="right")
+        for j, n in enumerate(live.tolist()):
+            here = at[:n]
+            wrote = flat.take(here, out=window[j, :n], mode="clip")
+            here += STEPS[(begin + j) % PERIOD].take(wrote)
+        upto = done + np.searchsorted(place.ravel()[rising[done:]], end)
+        cells = rising[done:upto]
+        rows = cells % len(texts)
+        sampled[cells] = np.where(steps[rows] > 0, window[place.ravel()[cells] - begin, rows], 0)
+        done = upto
+    # the place itself decides which bit of the class counts
+    which = (np.arange(BITS)[:, None] + place) % BITS
     bits = np.empty((len(texts), BITS), np.uint8)
-    rank = np.arange(len(texts))
-    for s, places in enumerate(PLACES):
-        place = places[np.maximum(np.searchsorted(places, steps) - 1, 0)]
-        cell = np.where(steps > 0, begin[np.minimum(place, len(live))] + rank, len(written) - 1)
-        # the place itself decides which bit of the class counts
-        bits[order, s] = SIGNS[(s + place) % BITS, written[cell]]
+    bits[order] = SIGNS[which, sampled.reshape(place.shape)].T
     return np.packbits(bits, axis=1)
 
 
@@ -172,7 +185,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
     def follow(batches):
         held = None
-        for b in batches:
+        for b in slices(batches, most=SLICE):
             guest, ids = b.column("guest").to_pylist(), b.column("doc_id").to_pylist()
             body, out = b.column("text").to_pylist(), []
             for row in zip(guest, ids, body):
@@ -195,21 +208,35 @@ def edited(text: Column, next_text: Column) -> Column:
 
 
 def compared(ordered: DataFrame) -> DataFrame:
-    """Fingerprints of each text and its edited text, and how like they and the next one are."""
-    schema = "fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-
-    @F.pandas_udf(schema)
-    def made(texts: pd.Series, changed: pd.Series, following: pd.Series) -> pd.DataFrame:
-        n = len(texts)
-        seen, at = _distinct([*texts, *changed, *following])
-        prints = fingerprints(list(seen))[at]
-        own, new, after = prints[:n], prints[n:2 * n], prints[2 * n:]
-        return pd.DataFrame({"fingerprint": [p.tobytes().hex() for p in own],
-                             "edited_fingerprint": [p.tobytes().hex() for p in new],
-                             "near_edited": likeness(own, new), "near_next": likeness(own, after)})
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next:
+    fingerprints of each text and its edited text, and how like they and the next one are.
 
+    A null text counts as empty. Repeated rows are compared one by one; other columns are not
+    looked at; an empty table gives no rows. A worker holds one slice of texts at a time.
+    """
     changed = edited(F.col("text"), F.col("next_text"))
-    rows = ordered.withColumn("edited", changed).withColumn(
-        "made", made(F.col("text"), F.col("edited"), F.col("next_text")))
-    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"),
-                       F.sha2("edited", 256).alias("edited_sha256"), "made.*")
+    rows = ordered.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                          F.coalesce("next_text", F.lit("")).alias("next_text")).withColumn(
+        "edited", changed).select("doc_id", F.length("text").cast("long").alias("n_chars"),
+                                  F.sha2("edited", 256).alias("edited_sha256"),
+                                  "text", "edited", "next_text")
+
+    def run(batches):
+        for part in slices(batches, most=SLICE):
+            n = part.num_rows
+            seen, at = _distinct([t for c in ("text", "edited", "next_text")
+                                  for t in part.column(c).to_pylist()])
+            prints = fingerprints(list(seen))[at]
+            own, new, after = prints[:n], prints[n:2 * n], prints[2 * n:]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], pa.array([p.tobytes().hex() for p in own], pa.string()),
+                 pa.array([p.tobytes().hex() for p in new], pa.string()),
+                 pa.array(likeness(own, new)), pa.array(likeness(own, after))],
+                names=COMPARED)
+
+    return rows.mapInArrow(run, ", ".join(map(" ".join, zip(COMPARED, (
+        "long", "long", "string", "string", "string", "double", "double")))))
+
+
+COMPARED = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+            "near_edited", "near_next"]

@@ -10,11 +10,9 @@ power of two of tokens, so neither kind has padding; what is cut off waits for t
 
 from __future__ import annotations
 
-import re
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,7 +87,8 @@ class WordTokens:
 
     REMEMBERED = 1_000_000
     FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-    STOP = re.compile(rb"(?<=[A-Za-z0-9])(?=[.,]\s)")
+    SPACES, STOPS, LETTERS = (np.isin(np.arange(256), list(of)) for of in (
+        b" \t\n\r\x0b\x0c", b".,", b"abcdefghijklmnopqrstuvwxyz0123456789"))
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
@@ -100,11 +99,32 @@ class WordTokens:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known = Memory(self.REMEMBERED)
 
-    def _words(self, text: str) -> list[bytes]:
-        raw = text.encode()
-        if b"<|" not in raw:  # else it may spell a special token, which is not folded
-            raw = self.STOP.sub(b" ", raw.translate(self.FOLD))
-        return raw.split()
+    def _words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts in a row, and how many of them each text has."""
+        # a text with "<|" may spell a special token, which is not folded: only cut at white space
+        raws = [t.encode() for t in texts]
+        plain = np.array([b"<|" not in r for r in raws], bool)
+        folded = b"".join(r.translate(self.FOLD) if p else r for r, p in zip(raws, plain))
+        data = np.frombuffer(folded, np.uint8)
+        sizes = np.array([len(r) for r in raws], np.int64)
+        ends = np.cumsum(sizes)
+        begins = np.zeros(len(data) + 1, bool)
+        begins[ends - sizes] = True
+        space = self.SPACES[data]
+        start = ~space
+        start[1:] &= space[:-1] | begins[1:-1]
+        stop = self.STOPS[data[1:-1]] & self.LETTERS[data[:-2]] & space[2:]
+        stop &= ~begins[1:-2] & ~begins[2:-1]
+        if not plain.all():
+            stop &= np.repeat(plain, sizes)[1:-1]
+        start[1:-1] |= stop
+        before = np.cumsum(~space, dtype=np.int64)  # places in the bytes without white space
+        at = np.flatnonzero(start)
+        body = data[~space]
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(at),
+            [None, pa.py_buffer(np.append(before[at] - 1, len(body))), pa.py_buffer(body)])
+        return words, np.diff(np.searchsorted(at, ends), prepend=0)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -130,10 +150,15 @@ class WordTokens:
 
     def packed(self, texts: list[str], end: bytes) -> list[bytes]:
         """Little-endian ids of each text, then ``end``."""
-        split = [self._words(t) for t in texts]
-        self._learn(self.known.missing(set(chain.from_iterable(split))))
+        words, counts = self._words(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn(self.known.missing(distinct))
         known = self.known.young
-        return [b"".join(map(known.__getitem__, words)) + end for words in split]
+        every = pa.array([known[w] for w in distinct], pa.large_binary()).take(coded.indices)
+        upto = np.concatenate([[0], np.cumsum(pc.binary_length(every).to_numpy())])[np.cumsum(counts)]
+        raw = (every.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        return [raw[a:b] + end for a, b in zip([0, *upto.tolist()], upto.tolist())]
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",

@@ -59,3 +59,34 @@ def test_search_finds_likely_pairs(spark):
     likes = rows.alias("x").crossJoin(rows.filter("doc_id = 3").alias("y")).select(
         "x.doc_id", fingerprints.similar(F.col("x.fingerprint"), F.col("y.fingerprint")).alias("l"))
     assert {r["doc_id"]: r["l"] for r in likes.collect()}[3] == 1.0
+
+
+def test_walks_reach_the_end_of_short_texts():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n, most in ((1, 0), (5, 3), (10, 6)):
+        same = 0
+        for _ in range(100):
+            text = "".join(rng.choice(list("abcdefghijklmno"), n))
+            a, b = fingerprints.fingerprints([text, text[:-1] + "Z"])
+            same += (a == b).all()
+        assert same <= most, (n, same)
+
+
+def test_prints_do_not_depend_on_the_window_or_on_company(monkeypatch):
+    import numpy as np
+
+    texts = [t or "" for t in AWKWARD[:8]] + ["some words " * k for k in (3, 40, 200)]
+    together = fingerprints.fingerprints(texts)
+    alone = np.concatenate([fingerprints.fingerprints([t]) for t in texts])
+    monkeypatch.setattr(fingerprints, "WINDOW", 7)
+    assert (together == alone).all() and (together == fingerprints.fingerprints(texts)).all()
+
+
+def test_null_ids_texts_and_repeated_rows(spark):
+    df = spark.createDataFrame([(None, "x y z"), (3, None), (3, None), (9, "x y z")],
+                               "doc_id long, text string")
+    rows = fingerprints.compared(fingerprints.with_next(df)).collect()
+    assert sorted((r["doc_id"] or -1, r["n_chars"]) for r in rows) == [(-1, 5), (3, 0), (3, 0), (9, 5)]
+    assert len({r["fingerprint"] for r in rows if r["n_chars"] == 5}) == 1
