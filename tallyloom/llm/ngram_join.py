@@ -7,7 +7,7 @@ document picks its own m: longer prefixes cost more candidates to count, and in
 shared n-grams, so fewer pairs to verify; m is where the estimated sum is least. A pair is held to
 the smaller m of the two.
 
-Documents with equal sets are one node. Links are first sought with the most central node of each
+Documents with equal sets are one node. Links are first sought turn by turn with one node of each
 bucket, which joins large groups of near copies at the cost of a few pairs per node. Then every
 remaining pair of nodes in different components that meets its m is verified, so that no link
 between components is lost; pairs inside a component need no look. Verification is on whole sets.
@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.sizing import fits_broadcast
 from tallyloom.llm.graph import components
-from tallyloom.llm.shared import col, slices, stored
+from tallyloom.llm.shared import Memory, col, slices, split_words, stored
 
 COUNTERS = 1 << 16
 LONGEST = 4  # m is 1 .. LONGEST
 NO_ID = -2**63
 REMEMBERED = 500_000
-SPACE = " \t\n\x0b\x0c\r"
+TRIES = 3  # pairs that a node is tried with in one turn
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -40,28 +40,39 @@ class Shingler:
 
     def __init__(self, words: int):
         self.words = words
-        self.known: dict[bytes, int] = {}
+        self.known = Memory(2 * REMEMBERED)
 
-    def __call__(self, text: str) -> np.ndarray:
-        """The distinct hashes, ascending; one for a text with fewer words, none without words."""
+    def sets(self, texts: list[str]) -> list[np.ndarray]:
+        """The distinct hashes of each text, ascending; one for a text with fewer words, none
+        without words. Words of all texts are hashed together, each distinct one once."""
         from xxhash import xxh3_64_intdigest
 
-        parts = text.encode().translate(_FOLD).split()
-        if not parts:
-            return np.zeros(0, np.uint64)
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        for w in set(parts):
-            if w not in known:
-                known[w] = xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts))
-        n = min(self.words, len(h))
-        out = np.full(len(h) - n + 1, np.uint64(n))
-        for k in range(n):
-            out = (out ^ h[k:len(h) - n + 1 + k]) * _A
-            out ^= out >> np.uint64(29)
-        return np.unique(out * _B)
+        words, counts = split_words([t.encode().translate(_FOLD) for t in texts])
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        for w in self.known.missing(distinct):
+            self.known.young[w] = xxh3_64_intdigest(w)
+        known = self.known.young
+        hashes = np.array([known[w] for w in distinct], np.uint64)
+        h = hashes[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.uint64)
+        whole = _mixed(h, self.words) if len(h) >= self.words else None
+        out, at = [], 0
+        for n in counts.tolist():
+            if n >= self.words:
+                out.append(np.unique(whole[at:at + n - self.words + 1]))
+            else:
+                out.append(_mixed(h[at:at + n], n) if n else np.zeros(0, np.uint64))
+            at += n
+        return out
+
+
+def _mixed(h: np.ndarray, n: int) -> np.ndarray:
+    """One hash for every n words in a row."""
+    out = np.full(len(h) - n + 1, np.uint64(n))
+    for k in range(n):
+        out = (out ^ h[k:len(h) - n + 1 + k]) * _A
+        out ^= out >> np.uint64(29)
+    return out * _B
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -75,25 +86,23 @@ def _counter(shingles: np.ndarray) -> np.ndarray:
 
 
 def _summaries(docs: DataFrame, words: int) -> DataFrame:
-    """One row (doc, n, node) per document, and per task one (count, counter) per used counter."""
+    """One row (doc, th, n, node) per document, and per task one (n, counter) per used counter."""
     def run(batches):
         shingler, counts = Shingler(words), np.zeros(COUNTERS, np.int64)
         for part in slices(batches):
-            sets = [shingler(t) for t in part.column("text").to_pylist()]
-            for s in sets:
-                counts += np.bincount(_counter(s), minlength=COUNTERS) if len(s) > COUNTERS else 0
-                if len(s) <= COUNTERS:
-                    np.add.at(counts, _counter(s), 1)
+            sets = shingler.sets(part.column("text").to_pylist())
+            counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), pa.array([len(s) for s in sets], pa.int64()),
+                [part.column("doc"), part.column("th"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.nulls(part.num_rows, pa.int64())], names=["doc", "n", "node", "counter"])
+                 pa.nulls(part.num_rows, pa.int64())], names=["doc", "th", "n", "node", "counter"])
         used = np.flatnonzero(counts)
+        none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(used), pa.int64()), pa.array(counts[used]), pa.nulls(len(used), pa.int64()),
-             pa.array(used)], names=["doc", "n", "node", "counter"])
+            [none, none, pa.array(counts[used]), none, pa.array(used)],
+            names=["doc", "th", "n", "node", "counter"])
 
-    return docs.mapInArrow(run, "doc long, n long, node long, counter long")
+    return docs.mapInArrow(run, "doc long, th long, n long, node long, counter long")
 
 
 def required(n: int, percent: int) -> int:
@@ -101,30 +110,38 @@ def required(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def prefix(shingles: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+def prefix(shingles: np.ndarray, counts: np.ndarray, percent: int, *,
+           levels: np.ndarray | None = None, usual: float | None = None) -> tuple[np.ndarray, int]:
     """The n-grams to index and m, the number of them that a partner has to share."""
-    often = counts[_counter(shingles)]
-    level = np.log2(often + 1.0).astype(np.int64)
-    order = np.lexsort((shingles, level))
+    levels = _levels(counts) if levels is None else levels
+    counter = _counter(shingles)
+    # the n-grams are ascending, and stay so within a level
+    order = np.argsort(levels[counter], kind="stable")
     n = len(shingles)
     base = n - required(n, percent)
     ms = np.arange(1, min(LONGEST, n - base) + 1)
-    reads = np.cumsum(often[order][:base + int(ms[-1])])[base + ms - 1] / counts.mean()
+    often = counts[counter[order[:base + int(ms[-1])]]]
+    reads = np.cumsum(often)[base + ms - 1] / (counts.mean() if usual is None else usual)
     cost = reads + n * reads / 4.0 ** ms  # counting, and verifying what still matches
     m = int(ms[cost.argmin()])
     return shingles[order[:base + m]], m
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    return np.log2(counts + 1.0).astype(np.int8)
+
+
 def _prefixes(docs: DataFrame, words: int, percent: int, counts) -> DataFrame:
+    """token, node, n, m: the prefix of every set that a task meets, once a task."""
     def run(batches):
         shingler = Shingler(words)
+        levels, usual = _levels(counts.value), float(counts.value.mean())
         for part in slices(batches):
             tokens, rows, seen = [], [], set()
-            for t in part.column("text").to_pylist():
-                s = shingler(t)
+            for s in shingler.sets(part.column("text").to_pylist()):
                 if len(s) and (node := _node(s)) not in seen:
                     seen.add(node)
-                    p, m = prefix(s, counts.value, percent)
+                    p, m = prefix(s, counts.value, percent, levels=levels, usual=usual)
                     tokens.append(p)
                     rows.append((node, len(s), m))
             if rows:
@@ -138,20 +155,26 @@ def _prefixes(docs: DataFrame, words: int, percent: int, counts) -> DataFrame:
     return docs.mapInArrow(run, "token long, node long, n long, m long")
 
 
-def _sets_of(nodes: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
-    """node, packed (compressed text) for some nodes, each from its first document."""
-    needed = stored(nodes.join(first, "node").select("node", "doc"), "needed")
+def _sets_of(nodes: DataFrame, docs: DataFrame, first: DataFrame, words: int) -> DataFrame:
+    """node, packed (compressed text) for some nodes, each from its first document.
+
+    A document is found by id and by a hash of its text, so an id with several texts gives each
+    node its own."""
+    needed = stored(nodes.join(first, "node").select("node", "first.*"), "needed")
     side = F.broadcast(needed) if fits_broadcast(needed, check_sources=False) else needed
 
     def squeeze(batches):
-        press = zstandard.ZstdCompressor(3)
+        press, shingler = zstandard.ZstdCompressor(3), Shingler(words)
         for part in slices(batches):
+            texts = part.column("text").to_pylist()
+            good = [_node(s) == node if len(s) else False for s, node in zip(
+                shingler.sets(texts), part.column("node").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("node"), pa.array([press.compress(t.encode()) for t in
-                                                part.column("text").to_pylist()], pa.binary())],
-                names=["node", "packed"])
+                [part.column("node").filter(pa.array(good, pa.bool_())),
+                 pa.array([press.compress(t.encode()) for t, g in zip(texts, good) if g],
+                          pa.binary())], names=["node", "packed"])
 
-    return (docs.join(side, "doc").select("node", "text")
+    return (docs.join(side, ["doc", "th"]).select("node", "text")
             .mapInArrow(squeeze, "node long, packed binary")
             .groupBy("node").agg(F.min("packed").alias("packed")))
 
@@ -160,7 +183,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, first: DataFrame, words: int,
             percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stored(_sets_of(nodes, docs, first), "sets")
+    sets = stored(_sets_of(nodes, docs, first, words), "sets")
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -171,7 +194,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, first: DataFrame, words: int,
             if packed not in known:
                 if len(known) > 2_000:
                     known.clear()
-                known[packed] = shingler(unpack.decompress(packed).decode())
+                known[packed] = shingler.sets([unpack.decompress(packed).decode()])[0]
             return known[packed]
 
         out = []
@@ -186,21 +209,97 @@ def _linked(pairs: DataFrame, docs: DataFrame, first: DataFrame, words: int,
     return pairs.join(a, "a").join(b, "b").filter(similar("pa", "pb")).select("a", "b")
 
 
-def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = 4,
-           percent: int = 85) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable
-    by links, itself included).
-
-    Two documents link when 100 x shared >= percent x united of their distinct n-grams. A text
-    with fewer words is one n-gram; a null, empty or blank one has none and links with nothing.
-    Rows that repeat an id are one document with several texts. A null id never is the smallest
-    unless alone. Other columns are not looked at.
+def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of tokens that nodes of several components share, with the component of each."""
+    placed = shared.join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("token").agg(F.min("component").alias("low"),
+                                        F.max("component").alias("high")).filter("low < high")
+    return stored(placed.join(mixed.select("token"), "token"), "mixed")
+
+
+def _tries(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Up to TRIES pairs (a, b) for each node: with the heads of its buckets that are of another
+    component. Every turn another node of a bucket is its head."""
+    order = F.xxhash64("node", F.lit(turn))
+    heads = mixed.groupBy("token").agg(
+        F.max(F.struct(order.alias("order"), "node", "n", "component")).alias("head"))
+    best = Window.partitionBy("node").orderBy(F.desc("times"), "head")
+    return (mixed.join(heads, "token").filter(F.col("component") != F.col("head.component"))
+            .filter(100 * F.least("n", "head.n") >= percent * F.greatest("n", "head.n"))
+            .groupBy("node", F.col("head.node").alias("head")).agg(F.count(F.lit(1)).alias("times"))
+            .withColumn("k", F.row_number().over(best)).filter(F.col("k") <= TRIES)
+            .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
+            .distinct())
+
+
+def _pairs_left(mixed: DataFrame) -> int:
+    """How many pairs of different components meet in the buckets, at most."""
+    parts = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).cast("double").alias("size"))
+    pairs = parts.groupBy("token").agg(
+        ((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))) / 2).alias("pairs"))
+    return int(pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0])
+
+
+def _links(shared: DataFrame, docs: DataFrame, first: DataFrame, words: int,
+           percent: int) -> DataFrame:
+    """node, component of every node that has a link.
+
+    Turn by turn, nodes are tried with one other node of each bucket, and what links becomes one
+    component. That goes on while it saves pairs: until fewer pairs are left than rows, or turns no
+    longer make them fewer by a tenth. Then every pair that is left, of nodes in different
+    components that share enough of their prefixes, is verified. The number of turns changes the
+    work, never the result.
     """
+    none = shared.select("node", F.col("node").alias("component")).limit(0)
+    labels, tried, left, turn = none, None, None, 0
+    rows = shared.count()
+    while True:
+        mixed = _placed(shared, labels)
+        before, left = left, _pairs_left(mixed)
+        if left <= rows or (turn > 1 and left > 0.9 * before):
+            break
+        fresh = _tries(mixed, turn, percent)
+        fresh = stored(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "tries")
+        tried = fresh if tried is None else tried.unionByName(fresh)
+        labels = _joined(labels, _linked(fresh, docs, first, words, percent))
+        turn += 1
+    right = mixed.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "m", "component")])
+    pairs = (mixed.join(right, "token").filter(
+        (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
+        & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
+        .groupBy(F.col("node").alias("a"), F.col("node2").alias("b"))
+        .agg(F.count(F.lit(1)).alias("times"), F.min(F.least("m", "m2")).alias("m"))
+        .filter(F.col("times") >= F.col("m")).select("a", "b"))
+    if tried is not None:
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
+    return _joined(labels, _linked(stored(pairs, "pairs"), docs, first, words, percent))
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels of nodes after further links; of many links between two components one counts."""
+    def home(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_home"))
+
+    edges = (links.join(home("a"), "a", "left").join(home("b"), "b", "left")
+             .select(F.coalesce("a_home", "a").alias("a"), F.coalesce("b_home", "b").alias("b"))
+             .filter("a <> b").distinct())
+    merged = components(stored(edges, "links"))
+    known = labels.select("node", F.col("component").alias("at")).unionByName(
+        merged.select("node", F.col("node").alias("at")).join(labels, "node", "left_anti"))
+    return stored(known.join(merged.withColumnRenamed("node", "at"), "at", "left").select(
+        "node", F.coalesce("component", "at").alias("component")), "labels")
+
+
+def _homes(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
+    """doc, th, n, least: of every row its id, a hash of its text, the size of its set and the
+    smallest id of its group; null ids are NO_ID."""
     spark = docs.sparkSession
-    plain = docs.select(col(doc_id).cast("long").alias("doc"),
-                        F.coalesce(col(text).cast("string"), F.lit("")).alias("text"))
+    whole = F.coalesce(col(text).cast("string"), F.lit(""))
+    plain = docs.select(F.coalesce(col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
+                        F.xxhash64(whole).alias("th"), whole.alias("text"))
     summary = stored(_summaries(plain, words), "summaries")
-    members = summary.filter(F.col("counter").isNull()).select("doc", "n", "node")
+    members = summary.filter(F.col("counter").isNull()).select("doc", "th", "n", "node")
     # a fixed number of counters, whatever the corpus
     table = np.zeros(COUNTERS, np.int64)
     for c, n in (summary.filter(F.col("counter").isNotNull()).groupBy("counter")
@@ -208,61 +307,54 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words
         table[c] = n
     counts = spark.sparkContext.broadcast(table)
     first = stored(members.filter(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc").alias("doc"), F.when(F.min("n") == F.max("n"), F.min("n")).otherwise(
-            F.raise_error(F.lit("two sets of one hash")).cast("long")).alias("n")), "nodes")
-
-    rows = (_prefixes(plain, words, percent, counts).groupBy("token", "node")
-            .agg(F.first("n").alias("n"), F.first("m").alias("m")))
-    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = stored(rows.join(often, "token"), "shared")
-
-    central = shared.groupBy("node").agg(F.avg(F.log2("size")).alias("rank"))
-    ranked = shared.join(central, "node")
-    heads = ranked.groupBy("token").agg(F.max(F.struct("rank", "node", "n")).alias("head"))
-    best = Window.partitionBy("node").orderBy(F.desc("times"), F.desc("rank"), "head")
-    tries = (ranked.join(heads, "token").filter(F.col("node") != F.col("head.node"))
-             .filter(100 * F.least("n", "head.n") >= percent * F.greatest("n", "head.n"))
-             .groupBy("node", F.col("head.node").alias("head")).agg(
-                 F.count(F.lit(1)).alias("times"), F.max("head.rank").alias("rank"))
-             .withColumn("k", F.row_number().over(best)).filter("k <= 3"))
-    tried = stored(tries.select(F.least("node", "head").alias("a"),
-                                F.greatest("node", "head").alias("b")).distinct(), "tried")
-    links = stored(_linked(tried, plain, first, words, percent), "links")
-    so_far = components(links)
-
-    placed = shared.join(so_far, "node", "left").select(
-        "token", "node", "n", "m", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"),
-                                        F.max("component").alias("high")).filter("low < high")
-    left = stored(placed.join(mixed.select("token"), "token"), "mixed")
-    right = left.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "m", "component")])
-    pairs = (left.join(right, "token").filter(
-        (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
-        & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
-        .groupBy(F.col("node").alias("a"), F.col("node2").alias("b"))
-        .agg(F.count(F.lit(1)).alias("times"), F.min(F.least("m", "m2")).alias("m"))
-        .filter(F.col("times") >= F.col("m")).select("a", "b"))
-    rest = stored(pairs.join(tried, ["a", "b"], "left_anti"), "rest")
-    linked = components(links.unionByName(_linked(rest, plain, first, words, percent)))
+        F.min(F.struct("doc", "th")).alias("first"),
+        F.min(F.nullif("doc", F.lit(NO_ID))).alias("least")), "nodes")
+
+    # read twice, so stored: only n-grams of several sets go on
+    rows = stored(_prefixes(plain, words, percent, counts), "prefixes")
+    several = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")
+                                        ).filter("low < high").select("token")
+    shared = stored(rows.join(several, "token").groupBy("token", "node").agg(
+        F.first("n").alias("n"), F.first("m").alias("m")), "shared")
+    linked = _links(shared, plain, first.select("node", "first"), words, percent)
 
     # the smallest document of a component; documents of one node share it
     placed = first.join(linked, "node", "left").select(
-        "node", "doc", F.coalesce("component", "node").alias("component"))
-    least = placed.groupBy("component").agg(F.min("doc").alias("least"))
-    homes = placed.join(least, "component").select("node", "least")
-    return (members.join(homes, "node", "left")
-            .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.coalesce("least", "doc").alias("component_id")))
+        "node", "least", F.coalesce("component", "node").alias("component"))
+    least = placed.groupBy("component").agg(F.min("least").alias("least"))
+    homes = placed.select("node", "component").join(least, "component").select("node", "least")
+    return members.join(homes, "node", "left").select("doc", "th", "n", "least")
+
+
+def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int = 4,
+           percent: int = 85) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable
+    by links, itself included).
+
+    Two documents link when 100 x shared >= percent x united of their distinct n-grams. A text
+    with fewer words is one n-gram; a null, empty or blank one has none and links with nothing.
+    Rows that repeat an id are judged each by its own text. A row without an id links like any
+    other and joins others, but null is a component's id only where no row of it has one. Sets
+    are told apart by a 64-bit hash. Long texts are worked on whole, an empty table gives no
+    rows, and other columns are not looked at.
+    """
+    own = F.nullif("doc", F.lit(NO_ID))
+    return _homes(docs, doc_id, text, words, percent).select(
+        own.alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.coalesce("least", own).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, words: int,
                percent: int) -> DataFrame:
     """The rows whose document is the smallest id of its group; all columns are passed on.
 
-    A repeated id is kept or dropped as one; a null id is kept.
+    Of an id with several texts each is kept or dropped by its own group; rows alike in id and
+    text are kept or dropped together. A null id is kept.
     """
-    found = groups(docs, doc_id, text, words=words, percent=percent)
-    gone = stored(found.filter(F.col("doc_id") != F.col("component_id"))
-                  .select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    found = _homes(docs, doc_id, text, words, percent)
+    gone = stored(found.filter((F.col("doc") != NO_ID) & (F.col("doc") != F.col("least")))
+                  .select(F.col("doc").alias("_gone"), F.col("th").alias("_th")).distinct(), "gone")
     side = F.broadcast(gone) if fits_broadcast(gone, check_sources=False) else gone
-    return docs.join(side, col(doc_id) == F.col("_gone"), "left_anti")
+    whole = F.coalesce(col(text).cast("string"), F.lit(""))
+    return docs.join(side, (col(doc_id) == F.col("_gone")) & (F.xxhash64(whole) == F.col("_th")),
+                     "left_anti")

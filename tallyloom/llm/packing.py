@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import Memory, Shipped, col, slices
+from tallyloom.llm.shared import Memory, Shipped, col, slices, split_words
 
 TOKENS, SEGMENTS = 4096, 512
 # Examples that are packed together; a block is a bounded piece of one task's rows.
@@ -87,8 +87,8 @@ class WordTokens:
 
     REMEMBERED = 1_000_000
     FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-    SPACES, STOPS, LETTERS = (np.isin(np.arange(256), list(of)) for of in (
-        b" \t\n\r\x0b\x0c", b".,", b"abcdefghijklmnopqrstuvwxyz0123456789"))
+    STOPS, LETTERS = (np.isin(np.arange(256), list(of)) for of in (
+        b".,", b"abcdefghijklmnopqrstuvwxyz0123456789"))
 
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
@@ -100,31 +100,20 @@ class WordTokens:
         self.known = Memory(self.REMEMBERED)
 
     def _words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
-        """The words of all texts in a row, and how many of them each text has."""
         # a text with "<|" may spell a special token, which is not folded: only cut at white space
         raws = [t.encode() for t in texts]
         plain = np.array([b"<|" not in r for r in raws], bool)
-        folded = b"".join(r.translate(self.FOLD) if p else r for r, p in zip(raws, plain))
-        data = np.frombuffer(folded, np.uint8)
-        sizes = np.array([len(r) for r in raws], np.int64)
-        ends = np.cumsum(sizes)
-        begins = np.zeros(len(data) + 1, bool)
-        begins[ends - sizes] = True
-        space = self.SPACES[data]
-        start = ~space
-        start[1:] &= space[:-1] | begins[1:-1]
-        stop = self.STOPS[data[1:-1]] & self.LETTERS[data[:-2]] & space[2:]
-        stop &= ~begins[1:-2] & ~begins[2:-1]
-        if not plain.all():
-            stop &= np.repeat(plain, sizes)[1:-1]
-        start[1:-1] |= stop
-        before = np.cumsum(~space, dtype=np.int64)  # places in the bytes without white space
-        at = np.flatnonzero(start)
-        body = data[~space]
-        words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(at),
-            [None, pa.py_buffer(np.append(before[at] - 1, len(body))), pa.py_buffer(body)])
-        return words, np.diff(np.searchsorted(at, ends), prepend=0)
+
+        def stops(data, space, begins):
+            mask = np.zeros(len(data), bool)
+            stop = self.STOPS[data[1:-1]] & self.LETTERS[data[:-2]] & space[2:]
+            stop &= ~begins[1:-2] & ~begins[2:-1]
+            if not plain.all():
+                stop &= np.repeat(plain, [len(r) for r in raws])[1:-1]
+            mask[1:-1] = stop
+            return mask
+
+        return split_words([r.translate(self.FOLD) if p else r for r, p in zip(raws, plain)], stops)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

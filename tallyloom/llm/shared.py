@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +54,34 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             yield batch.slice(start)
 
 
+SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+
+
+def split_words(raws: list[bytes], more=None) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row, as ``bytes.split`` cuts them, and how many each text has.
+
+    ``more(data, space, begins)`` may give further places where a word begins: a mask of the
+    bytes, from the bytes of all texts, which of them are white space, and where texts begin.
+    """
+    data = np.frombuffer(b"".join(raws), np.uint8)
+    sizes = np.array([len(r) for r in raws], np.int64)
+    ends = np.cumsum(sizes)
+    begins = np.zeros(len(data) + 1, bool)
+    begins[ends - sizes] = True
+    space = SPACES[data]
+    start = ~space
+    start[1:] &= space[:-1] | begins[1:-1]
+    if more is not None:
+        start |= more(data, space, begins)
+    at = np.flatnonzero(start)
+    body = data[~space]
+    before = np.cumsum(~space, dtype=np.int64)[at] - 1  # places among the bytes of words
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at),
+        [None, pa.py_buffer(np.append(before, len(body))), pa.py_buffer(body)])
+    return words, np.diff(np.searchsorted(at, ends), prepend=0)
+
+
 class Memory:
     """What is known about keys, in two generations, so that keys in use outlast a bounded size."""
 

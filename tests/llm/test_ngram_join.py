@@ -80,3 +80,36 @@ def test_keep_first(spark):
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 3, 4]
     assert ngram_join.keep_first(df.limit(0), words=5, percent=80).count() == 0
+
+
+def test_null_and_reused_ids_link_by_their_own_texts(spark):
+    rng = np.random.default_rng(9)
+    a, b, c = (" ".join(f"{k}{x}" for x in rng.integers(0, 10**6, 60)) for k in "abc")
+    bridge = " ".join([*a.split()[:-2], "x", "y"])
+    far = " ".join([*bridge.split()[2:], "z", "v"])
+    rows = [(5, a), (None, bridge), (8, far), (1, b), (7, c), (7, edited(rng, b, 1)), (7, c),
+            (None, "alone here"), (None, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.groups(df, words=4, percent=85).collect()
+    assert sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1) for r in got) == sorted([
+        (5, 57, 5), (-1, 57, 5), (8, 57, 5), (1, 57, 1), (7, 57, 7), (7, 57, 1), (7, 57, 7),
+        (-1, 1, -1), (-1, 0, -1), (9, 0, 9)])
+    kept = ngram_join.keep_first(df, words=4, percent=85).collect()
+    assert sorted((r["doc_id"] or -1, r["text"] or "") for r in kept) == sorted(
+        (d or -1, t or "") for i, (d, t) in enumerate(rows) if i not in (2, 5))
+
+
+def test_a_group_that_few_heads_join(spark):
+    """Copies so far apart that only some pairs link: turns join most, the last look the rest."""
+    rng = np.random.default_rng(11)
+    core = " ".join(f"c{x}" for x in range(90))
+    holds(spark, [edited(rng, core, 2) for _ in range(150)] + ["other text of five words"] * 3)
+
+
+def test_shingles_of_a_slice_are_those_of_single_texts():
+    texts = [t or "" for t in AWKWARD] + ["a b c d e", "a  b\nc", "A B C d", "x"]
+    together = ngram_join.Shingler(4).sets(texts)
+    for t, s in zip(texts, together):
+        assert (ngram_join.Shingler(4).sets([t])[0] == s).all()
+    assert ngram_join.Shingler(4).sets([]) == []
+    assert (together[-2] == ngram_join.Shingler(4).sets(["a b c d"])[0]).all()
