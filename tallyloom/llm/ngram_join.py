@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.sizing import fits_broadcast
@@ -233,6 +233,16 @@ def _tries(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
             .distinct())
 
 
+def _may_reach(percent: int) -> Column:
+    """Whether two sets can be similar that share ``times`` n-grams of their prefixes.
+
+    Any other n-gram that they share lies, in the order of all, behind the prefix that ends first,
+    so there are no more of them than that set has left there.
+    """
+    left = F.expr(f"greatest(({percent} * n + 99) DIV 100 - m, ({percent} * n2 + 99) DIV 100 - m2)")
+    return (100 + percent) * (F.col("times") + left) >= percent * (F.col("n") + F.col("n2"))
+
+
 def _pairs_left(mixed: DataFrame) -> int:
     """How many pairs of different components meet in the buckets, at most."""
     parts = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).cast("double").alias("size"))
@@ -269,8 +279,9 @@ def _links(shared: DataFrame, docs: DataFrame, first: DataFrame, words: int,
         (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
         & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
         .groupBy(F.col("node").alias("a"), F.col("node2").alias("b"))
-        .agg(F.count(F.lit(1)).alias("times"), F.min(F.least("m", "m2")).alias("m"))
-        .filter(F.col("times") >= F.col("m")).select("a", "b"))
+        .agg(F.count(F.lit(1)).alias("times"), *[F.min(c).alias(c) for c in ("n", "m", "n2", "m2")])
+        .filter(F.col("times") >= F.least("m", "m2")).filter(_may_reach(percent))
+        .select("a", "b"))
     if tried is not None:
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
     return _joined(labels, _linked(stored(pairs, "pairs"), docs, first, words, percent))
