@@ -31,6 +31,7 @@ LONGEST = 4  # m is 1 .. LONGEST
 NO_ID = -2**63
 REMEMBERED = 500_000
 TRIES = 3  # pairs that a node is tried with in one turn
+TOGETHER = 500  # pairs whose texts are cut to n-grams together
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -189,19 +190,17 @@ def _linked(pairs: DataFrame, docs: DataFrame, first: DataFrame, words: int,
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         shingler, unpack = Shingler(words), zstandard.ZstdDecompressor()
         known: dict[bytes, np.ndarray] = {}
-
-        def made(packed):
-            if packed not in known:
-                if len(known) > 2_000:
-                    known.clear()
-                known[packed] = shingler.sets([unpack.decompress(packed).decode()])[0]
-            return known[packed]
-
-        out = []
-        for x, y in zip(left, right):
-            x, y = made(bytes(x)), made(bytes(y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= percent * (len(x) + len(y) - both))
+        out, pairs = [], list(zip(left, right))
+        for at in range(0, len(pairs), TOGETHER):
+            some = pairs[at:at + TOGETHER]
+            needed = {p for pair in some for p in pair}
+            known = {p: known[p] for p in needed if p in known}
+            new = [p for p in needed if p not in known]
+            known.update(zip(new, shingler.sets([unpack.decompress(p).decode() for p in new])))
+            for x, y in some:
+                x, y = known[x], known[y]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
     a = sets.select(F.col("node").alias("a"), F.col("packed").alias("pa"))
@@ -220,8 +219,13 @@ def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _tries(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
     """Up to TRIES pairs (a, b) for each node: with the heads of its buckets that are of another
-    component. Every turn another node of a bucket is its head."""
+    component. Every turn another node of a bucket is its head, first the one with the least part
+    of n-grams of its own, which is most like the others."""
     order = F.xxhash64("node", F.lit(turn))
+    if turn == 0:
+        length = F.expr(f"n - ({percent} * n + 99) DIV 100 + m")  # of the prefix
+        often = mixed.groupBy("node").agg((F.count(F.lit(1)) / F.first(length)).alias("often"))
+        mixed, order = mixed.join(often, "node"), F.struct("often", order)
     heads = mixed.groupBy("token").agg(
         F.max(F.struct(order.alias("order"), "node", "n", "component")).alias("head"))
     best = Window.partitionBy("node").orderBy(F.desc("times"), "head")
