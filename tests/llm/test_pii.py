@@ -72,6 +72,82 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[31]["spans"] == ""
 
 
+def added(row):
+    """Spans beyond the base ones, with their texts' places."""
+    return sorted((s["kind"], s["start"], s["end"]) for s in row["added"])
+
+
+def local(i):
+    return f"0{200 + i} 5550 {100 + i}"
+
+
+def phones(i):
+    return f"+1 202 555 {1000 + i}"
+
+
+def test_contexts_with_most_instances_unseen(spark):
+    for seeds, unseen in ((30, 30), (30, 270)):
+        texts = [f"please ring {phones(i)} now" for i in range(seeds)]
+        texts += [f"please ring {local(i)} now" for i in range(unseen)]
+        texts += [f"the meeting {local(500 + i)} ended" for i in range(40)]  # no seed says so
+        got = {r["doc_id"]: r for r in pii.detect(documents(spark, texts)).collect()}
+        for i in range(seeds, seeds + unseen):
+            assert added(got[i]) == [("phone", 12, 12 + len(local(i - seeds)))], texts[i]
+        for i in [*range(seeds), *range(seeds + unseen, len(texts))]:
+            assert not added(got[i]), texts[i]
+
+
+def test_found_instances_lead_to_further_contexts(spark):
+    # local numbers stand beside "mobile:" only where they were found beside "ring" before
+    texts = [f"please ring {phones(i)} x{i}" for i in range(20)]
+    texts += [f"please ring {local(i)} y{i}" for i in range(10)]
+    texts += [f"a mobile: {local(i)} z{i}" for i in range(30)]
+    texts += [f"born in {1950 + i}-03-0{1 + i % 9} w" for i in range(30)]
+    got = {r["doc_id"]: r for r in pii.detect(documents(spark, texts)).collect()}
+    for i in range(20, 60):
+        assert [k for k, _, _ in added(got[i])] == ["phone"], texts[i]
+    assert not any(added(got[i]) for i in range(60, 90))
+
+
+def test_contrary_and_rare_instances_keep_a_context_out(spark):
+    dates = [f"on call {1900 + i}-01-{10 + i % 20} shift" for i in range(40)]
+    few = [f"on call {phones(i)} shift" for i in range(10)]
+    wide = [f"near {local(i)} v{i}" for i in range(300)] + [f"near {phones(50 + i)} u{i}"
+                                                            for i in range(10)]
+    texts = dates + few + ["on call 0171 5550 199 shift"] + wide
+    assert not any(added(r) for r in pii.detect(documents(spark, texts)).collect())
+
+
+def test_many_matches_in_one_text(spark):
+    n = 200_000
+    text = " ".join("a%d@b.co" % i if i % 2 else "12 34 56 %07d" % i for i in range(n))
+    row = pii.detect(documents(spark, [text])).collect()[0]
+    assert row["n_email"] == n // 2
+    holds(row, text)
+    out = pii.redacted(documents(spark, [text])).collect()[0]["text"]
+    assert out == re.sub(r"a[0-9]+@b\.co", "[EMAIL]", text)
+
+
+def test_candidates_beside_base_spans_are_left_out(spark):
+    text = "10.0.0.1 1234567 a@b.co 99 1234567 +49 30 1234567 7654321 4111 1111 1111 1111"
+    rows = pii._placed(pii._scan(documents(spark, [text]), "doc_id", "text")).collect()
+    base = [(r["start"], r["end"]) for r in rows if r["kind"]]
+    other = [(r["start"], r["end"]) for r in rows if not r["kind"]]
+    assert sorted(base) == sorted((a, b) for _, a, b in brute(text))
+    want = [m.span() for m in re.finditer(r"[0-9(+](?:[() ./-]*[0-9])+", text)
+            if len(m.group()) >= 7 and not any(a < m.end() and m.start() < b for a, b in base)]
+    assert sorted(other) == want
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, "x a@b.co"), (None, "y"), (7, "x a@b.co"), (7, "x a@b.co"), (7, "10.0.0.1 z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or -1, r["n_email"], r["n_ip"]) for r in pii.detect(df).collect())
+    assert got == [(-1, 0, 0), (-1, 1, 0), (7, 0, 1), (7, 1, 0), (7, 1, 0)]
+    out = sorted((r["doc_id"] or -1, r["text"]) for r in pii.redacted(df).collect())
+    assert out == [(-1, "x [EMAIL]"), (-1, "y"), (7, "[IP] z"), (7, "x [EMAIL]"), (7, "x [EMAIL]")]
+
+
 def test_redaction(spark):
     df = documents(spark, ["é a@b.co, 10.0.0.1", None, "", "+4111 1111 1111 1111 x"], **CLASHING)
     out = pii.redacted(df)
