@@ -44,6 +44,7 @@ PIECES_PER_TASK = 4
 WRITTEN_OUT = 32          # hot keys that become an expression; more are broadcast
 TRACKED_PER_TASK = 16     # keys a heavy-hitter state tracks for each task they may overload
 MOST_TRACKED = 1_000_000  # fixed value: the most that Spark's state can track
+KEY_ROWS = 1 << 20        # rows of one key that a plain join sorts in one piece
 
 
 def heavy_state(df: DataFrame, key: str, tasks: int, by: Sequence[str] = ()) -> DataFrame:
@@ -116,8 +117,19 @@ def replicate(df: DataFrame, salts: int | Column) -> DataFrame:
     return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
 
 
-def plain_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str) -> DataFrame:
-    """Sort-merge inner join, one row per matching pair."""
+def plain_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
+               stable: Sequence[str] = ()) -> DataFrame:
+    """Sort-merge inner join, one row per matching pair.
+
+    A task sorts all rows of its keys, and adaptive execution, which goes by compressed bytes,
+    leaves very many short rows of one key together. Where ``stable`` identifies a row of the big
+    side (see :func:`salted_join`), keys of more than ``KEY_ROWS`` rows are sorted in pieces, the
+    more of them the more rows; all other keys, and so all of a smaller table, are joined whole.
+    """
+    fair = big.select(big_key).count() // KEY_ROWS if stable else 0
+    if fair > 1:
+        return selective_salted_join(big, small, big_key, small_key, stable,
+                                     salt_counts(big, big_key, fair))
     return big.join(small.hint("merge"), big[big_key] == small[small_key], "inner")
 
 

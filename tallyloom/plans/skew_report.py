@@ -23,7 +23,7 @@ def join(kind: str, trips: DataFrame, campaigns: DataFrame, salts: int = skew.SA
     if kind == "preaggregated":
         return skew.preaggregated_totals(keys, campaigns, KEY, DIM_KEY, AMOUNT, "budget", "n")
     if kind == "plain":
-        joined = skew.plain_join(keys, campaigns, KEY, DIM_KEY)
+        joined = skew.plain_join(rows, campaigns, KEY, DIM_KEY, ["trip_id"])
     elif kind == "salted":
         joined = skew.salted_join(rows, campaigns, KEY, DIM_KEY, ["trip_id"], salts)
     else:

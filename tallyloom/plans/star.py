@@ -241,16 +241,15 @@ def skew_join(kind: str, percent: int = 30) -> Callable[[SparkSession, str], Dat
         if kind == "preagg":
             return skew.preaggregated_totals(keys, small, "key", "zone_id", "campaign_budget",
                                              "budget", "n")
+        rows = skewed_lines(spark, sf, percent, "row_in_file")
         if kind == "plain":
-            joined = skew.plain_join(keys, small, "key", "zone_id")
+            joined = skew.plain_join(rows, small, "key", "zone_id", ["row_in_file"])
+        elif kind == "salted":
+            joined = skew.salted_join(rows, small, "key", "zone_id", ["row_in_file"])
         else:
-            rows = skewed_lines(spark, sf, percent, "row_in_file")
-            if kind == "salted":
-                joined = skew.salted_join(rows, small, "key", "zone_id", ["row_in_file"])
-            else:
-                hot = skew.salt_counts(keys, "key", skew.task_target(keys))
-                joined = skew.selective_salted_join(rows, small, "key", "zone_id",
-                                                    ["row_in_file"], hot)
+            hot = skew.salt_counts(keys, "key", skew.task_target(keys))
+            joined = skew.selective_salted_join(rows, small, "key", "zone_id",
+                                                ["row_in_file"], hot)
         return skew.totals(joined, "key", "campaign_budget", "budget", "n")
     return query
 

@@ -111,6 +111,24 @@ def test_plain_join_is_sort_merge_and_may_be_split(spark, conf):
     assert "skew=true" in final_plan(total)
 
 
+def test_plain_join_sorts_a_key_of_very_many_rows_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(skew, "KEY_ROWS", 1000)
+    big = skewed(spark, 20_000, 0.85).withColumn("k", F.when(F.col("id") % 50 != 7, F.col("k")))
+    small = small_side(spark)
+    whole = skew.plain_join(big, small, "k", "key")
+    cut = skew.plain_join(big, small, "k", "key", ["id"])
+    assert "SortMergeJoin" in plan(cut) and skew.SALT in plan(cut)
+    assert cut.columns == whole.columns
+    assert diff.diff_rows(whole, cut).count() == 0
+    pieces = {r["_hot_key"]: r["_salts"] for r in skew.salt_counts(big, "k", 20).collect()}
+    most = (big.filter("k = 3").groupBy(skew.salt(["id"], pieces[3])).count()
+            .agg(F.max("count")).first()[0])
+    assert most < 1000 < big.filter("k = 3").count()
+    # other keys are joined whole, and so is a table of few rows
+    assert set(pieces) == {3}
+    assert skew.SALT not in plan(skew.plain_join(big.limit(1500), small, "k", "key", ["id"]))
+
+
 def test_preaggregated_join_builds_no_pairs(spark):
     text = plan(skew.preaggregated_totals(skewed(spark), small_side(spark), "k", "key", "amount",
                                           "total", "n"))
