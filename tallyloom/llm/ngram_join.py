@@ -11,6 +11,11 @@ Documents with equal sets are one node. Links are first sought turn by turn with
 bucket, which joins large groups of near copies at the cost of a few pairs per node. Then every
 remaining pair of nodes in different components that meets its m is verified, so that no link
 between components is lost; pairs inside a component need no look. Verification is on whole sets.
+
+Every node carries a bitmap of its set: 512 bits, each the parity of the n-grams whose hash falls
+to it. Where two bitmaps differ, so does an n-gram at least, so most pairs that only share a
+frequent passage are told apart where they meet, without a look at their texts (Sandes, Teodoro
+and Melo, 2020).
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from tallyloom.llm.shared import Memory, col, slices, split_words, stored
 
 COUNTERS = 1 << 16
 LONGEST = 4  # m is 1 .. LONGEST
+BITMAP = [f"b{i}" for i in range(8)]  # 64 bits each
 NO_ID = -2**63
 REMEMBERED = 500_000
 TRIES = 3  # pairs that a node is tried with in one turn
@@ -82,28 +88,39 @@ def _node(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxh3_64_intdigest(shingles.tobytes()))))
 
 
+def _bitmap(shingles: np.ndarray) -> np.ndarray:
+    """One long for each column of BITMAP."""
+    bits = 64 * len(BITMAP)
+    place = (shingles >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(48)).astype(np.int64)
 
 
 def _summaries(docs: DataFrame, words: int) -> DataFrame:
-    """One row (doc, th, n, node) per document, and per task one (n, counter) per used counter."""
+    """One row (doc, th, n, node, bitmap) per document, and per task one (n, counter) per used
+    counter."""
+    names = ["doc", "th", "n", "node", "counter", *BITMAP]
+
     def run(batches):
         shingler, counts = Shingler(words), np.zeros(COUNTERS, np.int64)
         for part in slices(batches):
             sets = shingler.sets(part.column("text").to_pylist())
             counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
+            bitmaps = np.stack([_bitmap(s) for s in sets], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc"), part.column("th"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.nulls(part.num_rows, pa.int64())], names=["doc", "th", "n", "node", "counter"])
+                 pa.nulls(part.num_rows, pa.int64()), *map(pa.array, bitmaps)], names=names)
         used = np.flatnonzero(counts)
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, pa.array(counts[used]), none, pa.array(used)],
-            names=["doc", "th", "n", "node", "counter"])
+            [none, none, pa.array(counts[used]), none, pa.array(used), *[none] * len(BITMAP)],
+            names=names)
 
-    return docs.mapInArrow(run, "doc long, th long, n long, node long, counter long")
+    return docs.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def required(n: int, percent: int) -> int:
@@ -208,6 +225,19 @@ def _linked(pairs: DataFrame, docs: DataFrame, first: DataFrame, words: int,
     return pairs.join(a, "a").join(b, "b").filter(similar("pa", "pb")).select("a", "b")
 
 
+def _may_link(percent: int, other: str) -> Column:
+    """Whether two sets can be similar by their sizes and bitmaps; ``other``.format(column) names a
+    column of the second one.
+
+    Every bit in which the bitmaps differ stands for an n-gram of one set alone.
+    """
+    n, n2 = F.col("n"), F.col(other.format("n"))
+    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(other.format(b)))) for b in BITMAP),
+                 start=F.lit(0))
+    return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & (
+        (100 + percent) * differ <= (100 - percent) * (n + n2))
+
+
 def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of tokens that nodes of several components share, with the component of each."""
     placed = shared.join(labels, "node", "left").withColumn(
@@ -219,7 +249,7 @@ def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _tries(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
     """Up to TRIES pairs (a, b) for each node: with the heads of its buckets that are of another
-    component. Every turn another node of a bucket is its head, first the one with the least part
+    component and may link with it. Every turn another node of a bucket is its head, first the one with the least part
     of n-grams of its own, which is most like the others."""
     order = F.xxhash64("node", F.lit(turn))
     if turn == 0:
@@ -227,10 +257,10 @@ def _tries(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
         often = mixed.groupBy("node").agg((F.count(F.lit(1)) / F.first(length)).alias("often"))
         mixed, order = mixed.join(often, "node"), F.struct("often", order)
     heads = mixed.groupBy("token").agg(
-        F.max(F.struct(order.alias("order"), "node", "n", "component")).alias("head"))
+        F.max(F.struct(order.alias("order"), "node", "n", "component", *BITMAP)).alias("head"))
     best = Window.partitionBy("node").orderBy(F.desc("times"), "head")
     return (mixed.join(heads, "token").filter(F.col("component") != F.col("head.component"))
-            .filter(100 * F.least("n", "head.n") >= percent * F.greatest("n", "head.n"))
+            .filter(_may_link(percent, "head.{}"))
             .groupBy("node", F.col("head.node").alias("head")).agg(F.count(F.lit(1)).alias("times"))
             .withColumn("k", F.row_number().over(best)).filter(F.col("k") <= TRIES)
             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
@@ -278,10 +308,11 @@ def _links(shared: DataFrame, docs: DataFrame, first: DataFrame, words: int,
         tried = fresh if tried is None else tried.unionByName(fresh)
         labels = _joined(labels, _linked(fresh, docs, first, words, percent))
         turn += 1
-    right = mixed.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "m", "component")])
+    right = mixed.select("token", *[F.col(c).alias(f"{c}2")
+                                    for c in ("node", "n", "m", "component", *BITMAP)])
     pairs = (mixed.join(right, "token").filter(
         (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
-        & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
+        & _may_link(percent, "{}2"))
         .groupBy(F.col("node").alias("a"), F.col("node2").alias("b"))
         .agg(F.count(F.lit(1)).alias("times"), *[F.min(c).alias(c) for c in ("n", "m", "n2", "m2")])
         .filter(F.col("times") >= F.least("m", "m2")).filter(_may_reach(percent))
@@ -314,7 +345,7 @@ def _homes(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
     plain = docs.select(F.coalesce(col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
                         F.xxhash64(whole).alias("th"), whole.alias("text"))
     summary = stored(_summaries(plain, words), "summaries")
-    members = summary.filter(F.col("counter").isNull()).select("doc", "th", "n", "node")
+    members = summary.filter(F.col("counter").isNull()).drop("counter")
     # a fixed number of counters, whatever the corpus
     table = np.zeros(COUNTERS, np.int64)
     for c, n in (summary.filter(F.col("counter").isNotNull()).groupBy("counter")
@@ -323,14 +354,16 @@ def _homes(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) ->
     counts = spark.sparkContext.broadcast(table)
     first = stored(members.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(F.struct("doc", "th")).alias("first"),
-        F.min(F.nullif("doc", F.lit(NO_ID))).alias("least")), "nodes")
+        F.min(F.nullif("doc", F.lit(NO_ID))).alias("least"),
+        *[F.first(b).alias(b) for b in BITMAP]), "nodes")
 
     # read twice, so stored: only n-grams of several sets go on
     rows = stored(_prefixes(plain, words, percent, counts), "prefixes")
     several = rows.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")
                                         ).filter("low < high").select("token")
     shared = stored(rows.join(several, "token").groupBy("token", "node").agg(
-        F.first("n").alias("n"), F.first("m").alias("m")), "shared")
+        F.first("n").alias("n"), F.first("m").alias("m"))
+        .join(first.select("node", *BITMAP), "node"), "shared")
     linked = _links(shared, plain, first.select("node", "first"), words, percent)
 
     # the smallest document of a component; documents of one node share it

@@ -113,3 +113,49 @@ def test_shingles_of_a_slice_are_those_of_single_texts():
         assert (ngram_join.Shingler(4).sets([t])[0] == s).all()
     assert ngram_join.Shingler(4).sets([]) == []
     assert (together[-2] == ngram_join.Shingler(4).sets(["a b c d"])[0]).all()
+
+
+def test_bitmaps_keep_every_similar_pair_and_few_others(spark):
+    rng = np.random.default_rng(8)
+    for percent, n in ((85, 40), (80, 300), (85, 2_000)):
+        sets = [rng.integers(0, 2**64, n, dtype=np.uint64) for _ in range(3)]
+        most = n - ngram_join.required(n, percent)
+        sets += [np.concatenate([s[k:], rng.integers(0, 2**64, int(rng.integers(0, k + 1)),
+                                                     dtype=np.uint64)])
+                 for s in sets for k in rng.integers(0, most + 1, 10)]
+        df = spark.createDataFrame(
+            [(i, len(s), *ngram_join._bitmap(np.unique(s)).tolist()) for i, s in enumerate(sets)],
+            ", ".join(f"{c} long" for c in ("i", "n", *ngram_join.BITMAP)))
+        other = df.select(*[df[c].alias(f"{c}2") for c in df.columns])
+        kept = {(r["i"], r["i2"]) for r in df.crossJoin(other).filter(
+            ngram_join._may_link(percent, "{}2")).collect()}
+        similar = set()
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    similar.add((i, j))
+        assert len(similar) > 60 and similar <= kept
+        if n < 1_000:
+            assert len(kept) <= 2 * len(similar)
+
+
+def test_texts_that_share_a_frequent_passage_make_few_pairs(spark):
+    """Short texts, so that the passage is in every prefix; the join makes a row for every pair of
+    them where bitmaps are not compared."""
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{i}" for i in range(9))
+    texts = [f"{passage} " + " ".join(f"w{x}" for x in rng.integers(0, 10**6, 8))
+             for _ in range(400)]
+    summary = ngram_join._summaries(
+        documents(spark, texts).selectExpr("doc_id doc", "doc_id th", "text"), 4)
+    counts = np.full(ngram_join.COUNTERS, 400)
+    rows = ngram_join._prefixes(
+        documents(spark, texts).select("text"), 4, 60, type("Sent", (), {"value": counts}))
+    nodes = summary.filter("node IS NOT NULL").select("node", *ngram_join.BITMAP)
+    mixed = rows.join(nodes, "node")
+    right = mixed.select("token", *[mixed[c].alias(f"{c}2") for c in ("node", "n", *ngram_join.BITMAP)])
+    met = mixed.join(right, "token").filter("node < node2")
+    assert met.count() > 10_000
+    assert met.filter(ngram_join._may_link(85, "{}2")).count() < 100
+    holds(spark, texts[:150] + [texts[0] + " end"])
