@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.sizing import fits_broadcast
 from tallyloom.llm.graph import components
-from tallyloom.llm.shared import Memory, col, slices, split_words, stored
+from tallyloom.llm.shared import col, slices, split_words, stored
 
 COUNTERS = 1 << 16
 LONGEST = 4  # m is 1 .. LONGEST
 BITMAP = [f"b{i}" for i in range(8)]  # 64 bits each
 NO_ID = -2**63
-REMEMBERED = 500_000
+LONG_WORD = 64  # bytes
 TRIES = 3  # pairs that a node is tried with in one turn
 TOGETHER = 500  # pairs whose texts are cut to n-grams together
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -47,21 +47,12 @@ class Shingler:
 
     def __init__(self, words: int):
         self.words = words
-        self.known = Memory(2 * REMEMBERED)
 
     def sets(self, texts: list[str]) -> list[np.ndarray]:
         """The distinct hashes of each text, ascending; one for a text with fewer words, none
-        without words. Words of all texts are hashed together, each distinct one once."""
-        from xxhash import xxh3_64_intdigest
-
+        without words. Words of all texts are hashed together."""
         words, counts = split_words([t.encode().translate(_FOLD) for t in texts])
-        coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        for w in self.known.missing(distinct):
-            self.known.young[w] = xxh3_64_intdigest(w)
-        known = self.known.young
-        hashes = np.array([known[w] for w in distinct], np.uint64)
-        h = hashes[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.uint64)
+        h = _word_hashes(words)
         whole = _mixed(h, self.words) if len(h) >= self.words else None
         out, at = [], 0
         for n in counts.tolist():
@@ -73,6 +64,30 @@ class Shingler:
         return out
 
 
+def _word_hashes(words: pa.LargeBinaryArray) -> np.ndarray:
+    """A 64-bit hash of every word, eight bytes of all words at a time; long words one by one."""
+    from xxhash import xxh3_64_intdigest
+
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[:len(words) + 1]
+    data = bytes(words.buffers()[2]) + bytes(8)
+    at, sizes = offsets[:-1], np.diff(offsets)
+    eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))  # from every byte on
+    h = sizes.astype(np.uint64) * _B
+    rows = np.arange(len(words))
+    for k in range(0, LONG_WORD, 8):
+        left = np.minimum(sizes[rows] - k, 8).astype(np.uint64)
+        part = eights[at[rows] + k] & (np.uint64(2**64 - 1) >> (np.uint64(64) - np.uint64(8) * left))
+        x = (h[rows] ^ part) * _A
+        x = (x ^ x >> np.uint64(32)) * _B
+        h[rows] = x ^ x >> np.uint64(29)
+        rows = rows[sizes[rows] > k + 8]
+    for i in rows.tolist():
+        h[i] = xxh3_64_intdigest(words[i].as_py())
+    return h
+
+
 def _mixed(h: np.ndarray, n: int) -> np.ndarray:
     """One hash for every n words in a row."""
     out = np.full(len(h) - n + 1, np.uint64(n))

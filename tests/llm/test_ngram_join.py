@@ -159,3 +159,20 @@ def test_texts_that_share_a_frequent_passage_make_few_pairs(spark):
     assert met.count() > 10_000
     assert met.filter(ngram_join._may_link(85, "{}2")).count() < 100
     holds(spark, texts[:150] + [texts[0] + " end"])
+
+
+def test_words_are_hashed_by_all_their_bytes():
+    rng = np.random.default_rng(10)
+    words = {bytes(rng.integers(33, 127, n, dtype=np.uint8)) for n in range(1, 200) for _ in range(20)}
+    words |= {w[:-1] + b"~" for w in words} | {b"x" * n for n in range(1, 200)}
+    words |= {w[:i] + b"\x00" + w[i:] for w in list(words)[:200] for i in (0, len(w))}
+    words = sorted(words)
+    texts = [b" ".join(words).decode(), "", " ".join(w.decode() for w in reversed(words))]
+    split, counts = ngram_join.split_words([t.encode() for t in texts])
+    assert counts.tolist() == [len(words), 0, len(words)]
+    h = ngram_join._word_hashes(split).tolist()
+    assert h[:len(words)] == h[len(words):][::-1]  # wherever a word stands
+    assert len(set(h)) == len(words)
+    x = np.array(h[:len(words)], np.uint64)
+    for bit in range(64):
+        assert 0.45 < ((x >> np.uint64(bit)) & np.uint64(1)).mean() < 0.55
