@@ -22,6 +22,8 @@ from tallyloom.llm.shared import Memory, Shipped, col, slices, split_words
 TOKENS, SEGMENTS = 4096, 512
 # Examples that are packed together; a block is a bounded piece of one task's rows.
 BLOCK = 1024
+# Text bytes of a block that are tokenized at a time.
+PIECE_BYTES = 2 << 20
 SCHEMA = ("doc_id long, start long, length long, ids binary, loss_tokens long, "
           "doc_tokens long, sequence_id long, offset long")
 
@@ -85,7 +87,7 @@ class WordTokens:
     between a word and white space is a word of its own for this tokenizer.
     """
 
-    REMEMBERED = 1_000_000
+    REMEMBERED = 400_000
     FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
     STOPS, LETTERS = (np.isin(np.arange(256), list(of)) for of in (
         b".,", b"abcdefghijklmnopqrstuvwxyz0123456789"))
@@ -150,6 +152,12 @@ class WordTokens:
         return [raw[a:b] + end for a, b in zip([0, *upto.tolist()], upto.tolist())]
 
 
+def _packed(tokenizer, block: pa.RecordBatch, end: bytes) -> list[bytes]:
+    """``tokenizer.packed`` of the texts of a block, in pieces: memory holds the words of one."""
+    return [ids for piece in slices([block], most=PIECE_BYTES)
+            for ids in tokenizer.packed(piece.column("text").to_pylist(), end)]
+
+
 def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
                    text: str = "text", prompt_chars: str | None = None, *, end_id: int = 2,
                    tokens: int = TOKENS, segments: int = SEGMENTS,
@@ -177,7 +185,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id",
             for at in range(0, part.num_rows, BLOCK):
                 block = part.slice(at, BLOCK)
                 ids, body = block.column("doc_id").to_pylist(), block.column("text").to_pylist()
-                packed = tokenizer.packed(body, end)
+                packed = _packed(tokenizer, block, end)
                 n = np.array([len(p) // 4 for p in packed], np.int64)
                 prompts = np.zeros(len(ids), np.int64)
                 for i, chars in enumerate(block.column("prompt").to_pylist()):

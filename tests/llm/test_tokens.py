@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -139,3 +140,18 @@ def test_prompts_bear_no_loss(spark):
         total[r["doc_id"]] += r["length"]
     assert bears[0] == total[0] - 2  # "one two" is the prompt
     assert bears[1] == total[1]
+
+
+def test_a_block_is_tokenized_in_bounded_pieces():
+    with open(WORDS, "rb") as f:
+        real, sizes = packing.WordTokens(f.read()), []
+
+    class Seen:
+        def packed(self, texts, end):
+            sizes.append(sum(map(len, texts)))
+            return real.packed(texts, end)
+
+    texts = [f"word{i} of text. " * 20_000 for i in range(40)] + ["", "one"]
+    block = pa.RecordBatch.from_pydict({"text": texts})
+    assert packing._packed(Seen(), block, b"\2\0\0\0") == real.packed(texts, b"\2\0\0\0")
+    assert sum(sizes) == sum(map(len, texts)) and max(sizes) <= packing.PIECE_BYTES < sum(sizes)
